@@ -93,26 +93,29 @@ def downloads_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``users``: email NULL for HOUSEHOLD, malformed for MACHINERY; inactive
-    when the account balance is negative."""
+    """``users``: email NULL for HOUSEHOLD, malformed for MACHINERY; country
+    code from the market segment (three letters for AUTOMOBILE); inactive when
+    the account balance is negative."""
     c = table(spark, sf_dir, "customer")
     base = F.lower(F.regexp_replace(F.col("c_name"), "#", "."))
     email = (F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string"))
              .when(F.col("c_mktsegment") == "MACHINERY", F.concat(base, F.lit("@example")))
              .otherwise(F.concat(base, F.lit("@example.com"))))
     return c.select(F.col("c_custkey").alias("user_id"), email.alias("email"),
-                    F.substring(F.col("c_mktsegment"), 1, 2).alias("country_code"),
+                    F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("AUT"))
+                    .otherwise(F.substring(F.col("c_mktsegment"), 1, 2)).alias("country_code"),
                     (F.col("c_acctbal") >= 0).alias("is_active"),
                     F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
                     .alias("created_at"))
 
 
 def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders``: finished orders only (status F)."""
+    """``orders``: finished orders only (status F); amounts as decimal(18,2)
+    so sums do not depend on addition order."""
     o = table(spark, sf_dir, "orders")
     return (o.filter(F.col("o_orderstatus") == "F")
             .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
-                    F.col("o_totalprice").alias("amount"), F.to_date("o_orderdate").alias("created_at")))
+                    F.col("o_totalprice").cast("decimal(18,2)").alias("amount"), F.to_date("o_orderdate").alias("created_at")))
 
 
 def sessions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
