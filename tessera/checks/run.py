@@ -37,6 +37,15 @@ def _first_line(exc: BaseException) -> str:
 
 def _validate(df: DataFrame, check: m.Check) -> str | None:
     """Analyse one check against ``df``; return an error text or None."""
+    names = [f.name for f in df.schema.fields]
+    case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    fold = (lambda x: x) if case_sensitive else str.lower
+    for c in check.columns:
+        hits = sum(1 for n in names if fold(n) == fold(c))
+        if hits == 0:
+            return f"[UNRESOLVED_COLUMN] column '{c}' is not in the input {names}"
+        if hits > 1:
+            return f"[AMBIGUOUS_REFERENCE] column '{c}' appears {hits} times in the input"
     try:
         if check.kind == m.ROW:
             df.select(F.expr(check.condition).alias("_probe"))
@@ -76,6 +85,13 @@ def count_duplicate_rows(df: DataFrame, strategy: str = "auto") -> int:
     return candidates.groupBy(*cols).count().filter(F.col("count") > 1).count()
 
 
+def fused_aggregate(df: DataFrame, items: list[tuple[int, m.Check]]) -> DataFrame:
+    """One-row aggregate holding ``_rows`` and one ``_c<i>`` count per row check."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.count_if(F.expr(c.condition)).alias(f"_c{i}") for i, c in items if c.kind == m.ROW]
+    return df.agg(*aggs)
+
+
 def _run_grouped(df: DataFrame, check: m.Check, duplicates: str) -> int:
     if check.kind == m.UNIQUE:
         return int(excess_copies(df, check.column).first()["failing_rows"])
@@ -85,9 +101,19 @@ def _run_grouped(df: DataFrame, check: m.Check, duplicates: str) -> int:
 
 
 def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto",
-               max_parallel: int = 4) -> DataFrame:
-    """Run ``checks`` on ``df``; returns the results DataFrame (RESULT_SCHEMA)."""
+               max_parallel: int = 4, materialize: bool = False) -> DataFrame:
+    """Run ``checks`` on ``df``; returns the results DataFrame (RESULT_SCHEMA).
+
+    ``materialize=True`` writes ``df`` once to the shared checkpoint folder
+    when more than one job will read it (fused pass + grouped passes); use it
+    when ``df`` is an expensive query result rather than a table scan.
+    """
     spark = df.sparkSession
+    kinds = {c.kind for c in checks}
+    if materialize and (kinds - {m.ROW, m.EMPTY}) and len(checks) > 1:
+        from tessera.sources.sinks import materialize as _write
+
+        df = _write(df, "checked-input")
     outcome: dict[int, tuple[int | None, str | None]] = {}
     fused: list[tuple[int, m.Check]] = []
     grouped: list[tuple[int, m.Check]] = []
@@ -101,9 +127,7 @@ def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto"
             grouped.append((i, c))
 
     def run_fused(items: list[tuple[int, m.Check]]) -> None:
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-        aggs += [F.count_if(F.expr(c.condition)).alias(f"_c{i}") for i, c in items if c.kind == m.ROW]
-        row = df.agg(*aggs).first()
+        row = fused_aggregate(df, items).first()
         for i, c in items:
             if c.kind == m.EMPTY:
                 outcome[i] = (1 if row["_rows"] == 0 else 0, None)

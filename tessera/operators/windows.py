@@ -76,7 +76,8 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     ``(p, v)`` with a partially aggregated ``groupBy``, runs the window over
     the distinct values only (rank = 1 + rows strictly ahead), and joins the
     rank back on ``(p, v)``.  A hot partition value then costs one row per
-    distinct order value instead of one row per input row.
+    distinct order value instead of one row per input row.  ``df`` is read
+    twice (histogram and join back): materialize an expensive input first.
     """
     if method == "window":
         w = Window.partitionBy(partition_col).orderBy(_order(order_col, descending))

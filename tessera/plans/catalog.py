@@ -26,7 +26,7 @@ from tessera.operators.joins import left_join_with_default
 from tessera.plans import reports as RP
 from tessera.sources import derived as D
 from tessera.sources.csv import scan_csv, write_csv
-from tessera.sources.sinks import scratch_path, write_table
+from tessera.sources.sinks import materialize, scratch_path, write_table
 from tessera.sources.tables import register_views, scan_table
 
 # --- fixed parameters of the registered queries ------------------------------
@@ -211,7 +211,8 @@ def _user_totals(spark, sf):
 
 
 def q_percent_rank_group(spark, sf):
-    return W.percent_rank_within(_user_totals(spark, sf), "event_type", "events", name="pct_rank")
+    totals = materialize(_user_totals(spark, sf), "user-totals")
+    return W.percent_rank_within(totals, "event_type", "events", name="pct_rank")
 
 
 def q_percent_rank_group_window(spark, sf):
@@ -294,19 +295,20 @@ def q_run_checks(spark, sf):
 
 
 def q_auto_check(spark, sf):
-    return _results(auto_check(q_user_order_summary(spark, sf)))
+    return _results(auto_check(q_user_order_summary(spark, sf), materialize=True))
 
 
 def q_dq_user_order_summary(spark, sf):
-    return _results(auto_check(q_user_order_summary(spark, sf), skip=["first_order_date__not_null"]))
+    return _results(auto_check(q_user_order_summary(spark, sf), skip=["first_order_date__not_null"],
+                               materialize=True))
 
 
 def q_dq_session_stats(spark, sf):
-    return _results(auto_check(q_session_stats(spark, sf)))
+    return _results(auto_check(q_session_stats(spark, sf), materialize=True))
 
 
 def q_check_summary(spark, sf):
-    return summarize(auto_check(q_user_order_summary(spark, sf)))
+    return summarize(auto_check(q_user_order_summary(spark, sf), materialize=True))
 
 
 def q_export_checks(spark, sf):

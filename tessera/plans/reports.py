@@ -25,6 +25,7 @@ from tessera.functions import scalars as S
 from tessera.operators import rollups as R
 from tessera.operators import windows as W
 from tessera.operators.joins import left_join_tagged
+from tessera.sources.sinks import materialize
 
 # --- fixed values -----------------------------------------------------------
 # Operating system and distributions kept by the download report.
@@ -112,14 +113,23 @@ def aggregate_downloads(cleaned: DataFrame, min_downloads: int = 1000, distinct:
 
 def download_growth_report(downloads: DataFrame, start, end, history_before=None,
                            min_downloads: int = 1000, distinct: str = "approx", limit: int | None = 1000,
-                           rank_method: str = "histogram") -> DataFrame:
-    """C4 end to end."""
+                           rank_method: str = "histogram", materialize_groups: bool = True) -> DataFrame:
+    """C4 end to end.
+
+    With ``materialize_groups`` (default) the post-HAVING groups are written
+    once to the shared checkpoint folder: the skew-safe rank reads them twice
+    (histogram and join back), and without the write Spark would recompute
+    the scan, join and aggregate for each branch.  The write is also a lineage
+    cut, so a lost executor does not send the report back to the raw log.
+    """
     history_before = start if history_before is None else history_before
     aggregated = aggregate_downloads(clean_downloads(downloads, start, end), min_downloads, distinct)
     history = download_history(downloads, history_before)
     agg_prev = (aggregated.join(history, "package_name", "left")
                 .withColumn("growth_pct", S.pct_change("total_downloads", "historical_downloads"))
                 .withColumn("historical_downloads", S.default_zero("historical_downloads")))
+    if materialize_groups and rank_method == "histogram":
+        agg_prev = materialize(agg_prev, "download-groups")
     ranked = W.percent_rank_within(agg_prev, "country_code", "total_downloads", descending=True,
                                    name="regional_rank", method=rank_method)
     out = ranked.select(*DOWNLOAD_REPORT_COLUMNS)

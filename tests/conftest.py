@@ -1,0 +1,70 @@
+import datetime as dt
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tessera.session import get_spark  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = get_spark(master="local[4]", shuffle_partitions=4)
+    yield s
+
+
+D = dt.date
+T = dt.datetime
+
+# Reference sample data, typed explicitly (FIXTURES.md section 1).
+USERS_SCHEMA = "user_id bigint, email string, country_code string, is_active boolean, created_at date"
+USERS_ROWS = [
+    (1, "alice@example.com", "US", True, D(2023, 1, 15)),
+    (2, "bob@example.com", "GB", True, D(2023, 2, 20)),
+    (3, None, "FR", True, D(2023, 3, 10)),
+    (4, "diana@example.com", "DE", True, D(2023, 4, 5)),
+    (5, "eve@example.com", "CA", True, D(2023, 5, 12)),
+    (5, "eve@example.com", "CA", True, D(2023, 5, 12)),
+    (6, "frank@example.com", "AU", True, D(2023, 6, 18)),
+    (7, "grace@example.com", "JP", True, D(2023, 7, 22)),
+    (8, "henry@example.com", "BR", False, D(2023, 8, 30)),
+    (9, "iris@example.com", "IT", True, D(2023, 9, 14)),
+    (10, "jack@example.com", "MX", True, D(2023, 10, 1)),
+]
+ORDERS_SCHEMA = "order_id bigint, user_id bigint, amount double, created_at date"
+ORDERS_ROWS = [
+    (1001, 1, 49.99, D(2023, 3, 1)), (1002, 1, 129.00, D(2023, 6, 15)), (1003, 2, 79.50, D(2023, 4, 10)),
+    (1004, 3, 200.00, D(2023, 5, 20)), (1005, 3, 45.00, D(2023, 7, 8)), (1006, 5, 310.00, D(2023, 9, 25)),
+    (1007, 5, 55.50, D(2023, 10, 30)), (1008, 6, 175.00, D(2023, 11, 5)), (1009, 7, 62.00, D(2023, 12, 1)),
+    (1010, 9, 88.88, D(2024, 1, 20)), (1011, 9, 150.00, D(2024, 2, 14)), (1012, 10, 33.00, D(2024, 3, 9)),
+]
+SESSIONS_SCHEMA = ("session_id string, user_id bigint, country_code string, duration_seconds bigint, "
+                   "started_at timestamp")
+SESSIONS_ROWS = [
+    ("s001", 1, "US", 120, T(2024, 1, 1, 10)), ("s002", 1, "US", 340, T(2024, 1, 2, 14, 30)),
+    ("s003", 2, "GB", 90, T(2024, 1, 1, 11)), ("s004", 3, "FR", 200, T(2024, 1, 3, 9, 15)),
+    ("s005", 4, "DE", 450, T(2024, 1, 4, 16)), ("s006", 5, "CA", 180, T(2024, 1, 5, 13)),
+    ("s007", 5, "CA", -500, T(2024, 1, 6, 10)), ("s008", 6, "AU", 310, T(2024, 1, 7, 12)),
+    ("s009", 7, None, 280, T(2024, 1, 8, 9)), ("s010", 9, "IT", 150, T(2024, 1, 9, 11)),
+    ("s011", 10, "MX", 420, T(2024, 1, 10, 15)), ("s012", 1, "US", 190, T(2024, 1, 11, 10, 30)),
+]
+
+
+@pytest.fixture(scope="session")
+def users(spark):
+    return spark.createDataFrame(USERS_ROWS, USERS_SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def orders(spark):
+    return spark.createDataFrame(ORDERS_ROWS, ORDERS_SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def sessions(spark):
+    return spark.createDataFrame(SESSIONS_ROWS, SESSIONS_SCHEMA)
