@@ -9,6 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 _DATA_SUFFIXES = (".parquet", ".csv", ".json", ".orc")
 
 
+def spread_small_scan(df: DataFrame, floor: int | None = None) -> DataFrame:
+    """Give a scan at least ``floor`` partitions (default: the cluster's parallelism).
+
+    A parquet file with one row group cannot be split, so its scan is a single
+    task and every row-wise expression before the first shuffle runs on one
+    core.  Only then is the scan spread round-robin; a large input already has
+    at least as many splits as cores and is returned unchanged (no shuffle).
+    """
+    floor = floor or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < floor:
+        return df.repartition(floor)
+    return df
+
+
+def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(path)
+    return spread_small_scan(df) if spread else df
+
+
 def scan_table(spark: SparkSession, name_or_path: str, columns: list[str] | None = None) -> DataFrame:
     """IO1: a catalog table by name, or a parquet path.
 
