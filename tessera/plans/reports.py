@@ -156,7 +156,8 @@ def user_order_summary(users: DataFrame, orders: DataFrame) -> DataFrame:
         "user_id", "email", "country_code",
         F.col("created_at").alias("user_created_at"),
         S.default_zero("total_orders", 0).alias("total_orders"),
-        S.default_zero("total_spent", 0.0).alias("total_spent"),
+        # an integer zero keeps the sum's own type (decimal stays decimal)
+        S.default_zero("total_spent", 0).alias("total_spent"),
         "last_order_date", "first_order_date",
         S.day_diff("last_order_date", "first_order_date").alias("order_tenure_days"))
 
