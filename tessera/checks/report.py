@@ -72,3 +72,33 @@ def rerun_exported(spark, exported: DataFrame) -> DataFrame:
         except Exception as exc:
             rows.append((r["position"], r["name"], None, str(exc).splitlines()[0][:500]))
     return spark.createDataFrame(rows, "position int, name string, failing_rows bigint, error string")
+
+
+def append_results(results: DataFrame, path: str, run_id: str, source: str) -> str:
+    """Append one run's results to a history table (parquet, partitioned by run)."""
+    (results.withColumn("run_id", F.lit(run_id)).withColumn("source", F.lit(source))
+     .write.mode("append").partitionBy("run_id").parquet(path))
+    return path
+
+
+def summary_by_run(history: DataFrame) -> DataFrame:
+    """D21 over the history table: checks per run, source and status."""
+    return history.groupBy("run_id", "source", "status").agg(F.count(F.lit(1)).alias("checks"))
+
+
+def checks_sql_text(exported: DataFrame) -> DataFrame:
+    """IO6 as text: one block per check with its reason and last run as comments."""
+    header = F.concat(
+        F.lit("-- ["), F.lpad(F.col("position").cast("string"), 2, " "), F.lit("] "), F.col("name"),
+        F.lit("\n--      column : "), F.col("column"),
+        F.lit("\n--      type   : "), F.col("test_type"),
+        F.lit("\n--      reason : "), F.col("reason"),
+        F.lit("\n--      last run: "), F.coalesce(F.col("last_run"), F.lit("not run")),
+        F.lit("\n"), F.col("sql"), F.lit(";\n"))
+    return exported.orderBy("position").select(header.alias("value"))
+
+
+def write_checks_sql(exported: DataFrame, path: str) -> str:
+    """Write the exported checks as one SQL text file (the table is tiny)."""
+    checks_sql_text(exported).coalesce(1).write.mode("overwrite").text(path)
+    return path

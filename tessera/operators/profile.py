@@ -46,6 +46,9 @@ def profile_table(df: DataFrame, rsd: float = 0.05) -> DataFrame:
 
 def grain_candidates(df: DataFrame, candidates: list[list[str]], max_parallel: int = 4) -> DataFrame:
     """For each candidate key: number of distinct keys, largest group, unique?"""
+    if not candidates:
+        return df.sparkSession.createDataFrame(
+            [], "candidate string, distinct_keys bigint, max_rows_per_key bigint, is_unique boolean")
 
     def one(cols: list[str]):
         g = df.groupBy(*[F.col(q(c)) for c in cols]).count()
@@ -57,3 +60,49 @@ def grain_candidates(df: DataFrame, candidates: list[list[str]], max_parallel: i
         rows = list(pool.map(one, candidates))
     return df.sparkSession.createDataFrame(
         rows, "candidate string, distinct_keys bigint, max_rows_per_key bigint, is_unique boolean")
+
+
+def sample_values(df: DataFrame, k: int = 3, scan_rows: int = 1000) -> dict[str, list[str]]:
+    """Up to ``k`` distinct non-null sample values per column, taken from the
+    first ``scan_rows`` rows (``limit`` bounds what reaches the driver)."""
+    rows = df.limit(scan_rows).collect()
+    out: dict[str, list[str]] = {}
+    for f in df.schema.fields:
+        seen: list[str] = []
+        for r in rows:
+            v = r[f.name]
+            if v is not None and str(v) not in seen:
+                seen.append(str(v))
+                if len(seen) == k:
+                    break
+        out[f.name] = seen
+    return out
+
+
+def profile_with_samples(df: DataFrame, k: int = 3, scan_rows: int = 1000, rsd: float = 0.05) -> DataFrame:
+    """``profile_table`` plus a ``sample_values`` column (comma separated)."""
+    prof = profile_table(df, rsd)
+    samples = sample_values(df, k, scan_rows)
+    spark = df.sparkSession
+    s = spark.createDataFrame([(c, ", ".join(v)) for c, v in samples.items()],
+                              "column_name string, sample_values string")
+    return prof.join(s, "column_name", "left").orderBy("position")
+
+
+def guess_grain(df: DataFrame, min_ratio: float = 0.9, max_pairs_from: int = 4) -> DataFrame:
+    """Guess the grain: propose keys from the distinct estimates, verify exactly.
+
+    Single columns whose estimate reaches ``min_ratio`` of the row count are
+    proposed, then pairs of the ``max_pairs_from`` most distinct columns; every
+    proposal is verified with an exact grouped pass (``grain_candidates``).
+    """
+    prof = profile_table(df).collect()
+    if not prof or prof[0]["row_count"] == 0:
+        return grain_candidates(df, [])
+    n = prof[0]["row_count"]
+    ranked = sorted((r for r in prof if r["approx_distinct"] is not None),
+                    key=lambda r: -r["approx_distinct"])
+    singles = [[r["column_name"]] for r in ranked if r["approx_distinct"] >= min_ratio * n]
+    top = [r["column_name"] for r in ranked[:max_pairs_from]]
+    pairs = [[a, b] for i, a in enumerate(top) for b in top[i + 1:]]
+    return grain_candidates(df, singles + pairs)

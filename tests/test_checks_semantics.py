@@ -136,3 +136,37 @@ def test_export_and_rerun(spark, users, orders):
     first = {r["name"]: r["failing_rows"] for r in results.collect()}
     assert again == first
     assert "GROUP BY" in check_sql(M.no_duplicate_rows(), "t", ["a", "b"])
+
+
+def test_history_and_sql_text(spark, tmp_path, users, orders):
+    from tessera.checks.report import append_results, checks_sql_text, summary_by_run, write_checks_sql
+    from tessera.checks.rules import suggest_checks
+    from tessera.plans.reports import user_order_summary
+
+    uos = user_order_summary(users, orders)
+    checks = suggest_checks(uos)
+    res = run_checks(uos, checks)
+    path = str(tmp_path / "history")
+    append_results(res, path, "r1", "uos")
+    append_results(res, path, "r2", "uos")
+    summ = {(r["run_id"], r["status"]): r["checks"] for r in summary_by_run(spark.read.parquet(path)).collect()}
+    assert summ[("r1", "PASS")] == 9 and summ[("r2", "FAIL")] == 5
+    exported = export_checks(spark, checks, res, "uos_view", uos.columns)
+    text = [r[0] for r in checks_sql_text(exported).collect()]
+    assert text[0].startswith("-- [ 1] table__row_count_positive") and text[0].rstrip().endswith(";")
+    out = write_checks_sql(exported, str(tmp_path / "sql"))
+    assert spark.read.text(out).count() > len(checks)
+
+
+def test_profile_and_grain(spark):
+    from tessera.operators.profile import guess_grain, profile_with_samples
+
+    df = spark.createDataFrame([(i, i % 3, f"n{i % 5}", None) for i in range(30)],
+                               "id bigint, g int, name string, empty string")
+    prof = {r["column_name"]: r for r in profile_with_samples(df).collect()}
+    assert prof["id"]["row_count"] == 30 and prof["empty"]["null_count"] == 30
+    assert prof["g"]["min_value"] == "0" and prof["g"]["max_value"] == "2"
+    assert prof["name"]["sample_values"] == "n0, n1, n2"
+    grain = {r["candidate"]: r["is_unique"] for r in guess_grain(df).collect()}
+    assert grain["id"] is True
+    assert grain.get("g,name", grain.get("name,g")) is False
