@@ -62,3 +62,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables."""
     return ensure_checkpoint_dir(spark)
+
+
+def size_shuffle_partitions(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                            max_partitions: int = 50_000) -> int:
+    """Initial shuffle partitions for a shuffle of about ``shuffle_bytes``.
+
+    Aim at ``target_bytes`` per reducer, never below twice the cluster's cores
+    and never above ``max_partitions`` (each map task writes one index entry
+    per reducer).  AQE then coalesces small partitions at run time
+    (``advisoryPartitionSizeInBytes``) and splits skewed ones in joins.  The
+    shuffles here carry partial aggregates or pruned columns, so a 100 TB scan
+    typically shuffles a few TB: ~10k-50k initial partitions.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = min(max_partitions, max(2 * cores, -(-int(shuffle_bytes) // int(target_bytes))))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n
