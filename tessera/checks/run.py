@@ -35,37 +35,55 @@ def _first_line(exc: BaseException) -> str:
     return text.splitlines()[0][:500]
 
 
-def _validate(df: DataFrame, check: m.Check) -> str | None:
-    """Analyse one check against ``df``; return an error text or None."""
-    names = [f.name for f in df.schema.fields]
+def _schema_errors(df: DataFrame, check: m.Check) -> str | None:
+    """Column existence, ambiguity and type gates, from the schema alone."""
+    fields = df.schema.fields
     case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
     fold = (lambda x: x) if case_sensitive else str.lower
     for c in check.columns:
-        hits = sum(1 for n in names if fold(n) == fold(c))
-        if hits == 0:
-            return f"[UNRESOLVED_COLUMN] column '{c}' is not in the input {names}"
-        if hits > 1:
-            return f"[AMBIGUOUS_REFERENCE] column '{c}' appears {hits} times in the input"
+        hits = [f for f in fields if fold(f.name) == fold(c)]
+        if not hits:
+            return f"[UNRESOLVED_COLUMN] column '{c}' is not in the input {[f.name for f in fields]}"
+        if len(hits) > 1:
+            return f"[AMBIGUOUS_REFERENCE] column '{c}' appears {len(hits)} times in the input"
+        dt = hits[0].dataType
+        if check.needs_numeric and not isinstance(dt, (NumericType, DayTimeIntervalType, YearMonthIntervalType)):
+            return f"column '{c}' has type {dt.simpleString()}, a range check needs a numeric column"
+    if check.kind == m.DUPLICATES:
+        names = [fold(f.name) for f in fields]
+        dupes = sorted({n for n in names if names.count(n) > 1})
+        if dupes:
+            return f"[AMBIGUOUS_REFERENCE] duplicate output columns {dupes}"
+    return None
+
+
+def _analysis_error(df: DataFrame, check: m.Check) -> str | None:
     try:
-        if check.kind == m.ROW:
-            df.select(F.expr(check.condition).alias("_probe"))
-        elif check.kind == m.UNIQUE:
-            df.select(F.col(m.q(check.column)))
-        elif check.kind == m.DUPLICATES:
-            names = [f.name for f in df.schema.fields]
-            dupes = sorted({n for n in names if names.count(n) > 1})
-            if dupes:
-                return f"[AMBIGUOUS_REFERENCE] duplicate output columns {dupes}"
-        if check.needs_numeric:
-            for c in check.columns:
-                dt = df.select(F.col(m.q(c))).schema.fields[0].dataType
-                if not isinstance(dt, (NumericType, DayTimeIntervalType, YearMonthIntervalType)):
-                    return f"column '{c}' has type {dt.simpleString()}, a range check needs a numeric column"
+        df.select(F.expr(check.condition).alias("_probe"))
     except Exception as exc:  # AnalysisException and friends
         return _first_line(exc)
     return None
 
 
+def validate_checks(df: DataFrame, checks: list[m.Check]) -> dict[int, str]:
+    """Error text per check index for checks that cannot run on ``df``.
+
+    Schema gates first; then all row-level conditions are analysed in one
+    ``select`` and only if that fails is each one analysed alone, so a wide
+    table with hundreds of valid checks costs one analyzer call.
+    """
+    errors = {i: e for i, c in enumerate(checks) if (e := _schema_errors(df, c)) is not None}
+    rows = [(i, c) for i, c in enumerate(checks) if c.kind == m.ROW and i not in errors]
+    if rows:
+        try:
+            df.select(*[F.expr(c.condition).alias(f"_p{i}") for i, c in rows])
+        except Exception:
+            for i, c in rows:
+                if (e := _analysis_error(df, c)) is not None:
+                    errors[i] = e
+    return errors
+
+
 def count_duplicate_rows(df: DataFrame, strategy: str = "auto") -> int:
     """Number of distinct full-row values that occur more than once.
 
@@ -117,10 +135,10 @@ def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto"
     outcome: dict[int, tuple[int | None, str | None]] = {}
     fused: list[tuple[int, m.Check]] = []
     grouped: list[tuple[int, m.Check]] = []
+    errors = validate_checks(df, checks)
     for i, c in enumerate(checks):
-        err = _validate(df, c)
-        if err is not None:
-            outcome[i] = (None, err)
+        if i in errors:
+            outcome[i] = (None, errors[i])
         elif c.kind in (m.ROW, m.EMPTY):
             fused.append((i, c))
         else:

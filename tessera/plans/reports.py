@@ -50,9 +50,14 @@ def withdrawal_rollup(blocks: DataFrame, days: int | None = 7, as_of=None, min_c
 
 
 # C2 -------------------------------------------------------------------------
-def top_blocks_per_day(blocks: DataFrame, n: int = 3) -> DataFrame:
-    """Top ``n`` blocks by gas used per calendar day (row_number: exactly n)."""
-    pop = blocks.select(S.to_day("timestamp").alias("calendar_day"), "number", "gas_used")
+def top_blocks_per_day(blocks: DataFrame, n: int = 3, days: int | None = None, as_of=None) -> DataFrame:
+    """Top ``n`` blocks by gas used per calendar day (row_number: exactly n).
+
+    ``days`` optionally bounds the scan to a trailing window (the reference's
+    own production note); ``None`` ranks every day of the table.
+    """
+    scoped = blocks if days is None else blocks.filter(P.trailing_days("timestamp", days, as_of=as_of))
+    pop = scoped.select(S.to_day("timestamp").alias("calendar_day"), "number", "gas_used")
     return W.topn_per_group(pop, ["calendar_day"], "gas_used", n=n, tie_breaker="number")
 
 

@@ -170,3 +170,16 @@ def test_profile_and_grain(spark):
     grain = {r["candidate"]: r["is_unique"] for r in guess_grain(df).collect()}
     assert grain["id"] is True
     assert grain.get("g,name", grain.get("name,g")) is False
+
+
+def test_wide_table_validation(spark):
+    from tessera.checks.run import validate_checks
+
+    cols = [f"total_c{i}" for i in range(60)]
+    df = spark.createDataFrame([tuple(range(60))], ", ".join(f"{c} int" for c in cols))
+    checks = [M.non_negative(c) for c in cols] + [M.not_null("nope"),
+              M.Check("bad__expr", None, "range", "x", condition="no_such_fn(total_c0) < 0", columns=())]
+    errors = validate_checks(df, checks)
+    assert set(errors) == {60, 61}
+    res = run_checks(df, checks).orderBy("position").collect()
+    assert [r["status"] for r in res[:60]] == ["PASS"] * 60 and res[61]["status"] == "ERROR"
