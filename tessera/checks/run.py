@@ -59,7 +59,7 @@ def _schema_errors(df: DataFrame, check: m.Check) -> str | None:
 
 def _analysis_error(df: DataFrame, check: m.Check) -> str | None:
     try:
-        df.select(F.expr(check.condition).alias("_probe"))
+        df.select(F.expr(condition_for(df, check)).alias("_probe"))
     except Exception as exc:  # AnalysisException and friends
         return _first_line(exc)
     return None
@@ -76,7 +76,7 @@ def validate_checks(df: DataFrame, checks: list[m.Check]) -> dict[int, str]:
     rows = [(i, c) for i, c in enumerate(checks) if c.kind == m.ROW and i not in errors]
     if rows:
         try:
-            df.select(*[F.expr(c.condition).alias(f"_p{i}") for i, c in rows])
+            df.select(*[F.expr(condition_for(df, c)).alias(f"_p{i}") for i, c in rows])
         except Exception:
             for i, c in rows:
                 if (e := _analysis_error(df, c)) is not None:
@@ -103,10 +103,30 @@ def count_duplicate_rows(df: DataFrame, strategy: str = "auto") -> int:
     return candidates.groupBy(*cols).count().filter(F.col("count") > 1).count()
 
 
+def condition_for(df: DataFrame, check: m.Check) -> str:
+    """The check's condition, with the zero of a range check typed like the column.
+
+    ``date - date`` is an interval in Spark, and an interval only compares
+    with an interval zero.
+    """
+    cond = check.condition
+    if check.needs_numeric and check.columns:
+        target = check.columns[0].lower()
+        hits = [f for f in df.schema.fields if f.name.lower() == target]
+        if len(hits) != 1:
+            return cond
+        dt = hits[0].dataType
+        zero = ("INTERVAL '0' SECOND" if isinstance(dt, DayTimeIntervalType)
+                else "INTERVAL '0' MONTH" if isinstance(dt, YearMonthIntervalType) else None)
+        if zero is not None:
+            cond = cond.replace("< 0", f"< {zero}")
+    return cond
+
+
 def fused_aggregate(df: DataFrame, items: list[tuple[int, m.Check]]) -> DataFrame:
     """One-row aggregate holding ``_rows`` and one ``_c<i>`` count per row check."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count_if(F.expr(c.condition)).alias(f"_c{i}") for i, c in items if c.kind == m.ROW]
+    aggs += [F.count_if(F.expr(condition_for(df, c))).alias(f"_c{i}") for i, c in items if c.kind == m.ROW]
     return df.agg(*aggs)
 
 
