@@ -10,6 +10,10 @@ plans      composite reports and the query catalog used by ``__spark_entry__``
 streaming  micro-batch check runner (``foreachBatch``)
 """
 
-from tessera.session import get_spark, checkpoint_dir
+from tessera.checks.report import export_checks, summarize, summary_line, write_checks_sql
+from tessera.checks.rules import select_checks, suggest_checks
+from tessera.checks.run import auto_check, run_checks
+from tessera.session import checkpoint_dir, get_spark, size_shuffle_partitions
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "checkpoint_dir", "size_shuffle_partitions", "suggest_checks", "select_checks",
+           "run_checks", "auto_check", "summarize", "summary_line", "export_checks", "write_checks_sql"]

@@ -46,30 +46,53 @@ def read_tables(spark: SparkSession, data_dir: str, names: list[str]) -> dict[st
     return {n: spark.read.parquet(f"{data_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
-def _list_dir(spark: SparkSession, data_dir: str) -> list[str]:
-    """List file names through the Hadoop FileSystem so that any scheme works."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm  # noqa: SLF001 - public py4j gateway, used only for listing
-    jpath = jvm.org.apache.hadoop.fs.Path(data_dir)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def _list_dir(spark: SparkSession, data_dir: str) -> list[tuple[str, bool]]:
+    """(name, is_directory) of the entries, through the Hadoop FileSystem so
+    that any scheme (hdfs://, s3a://, file:) works."""
+    jpath, fs = _fs(spark, data_dir)
     if not fs.exists(jpath) or not fs.getFileStatus(jpath).isDirectory():
         raise FileNotFoundError(f"Sample data directory not found: {data_dir!r}")
-    return sorted(st.getPath().getName() for st in fs.listStatus(jpath))
+    return sorted((st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(jpath))
+
+
+def _dataset_format(spark: SparkSession, path: str) -> str | None:
+    """Format of a directory written by Spark (``part-*.parquet`` etc.), if any."""
+    jpath, fs = _fs(spark, path)
+    for st in fs.listStatus(jpath):
+        name = st.getPath().getName()
+        for ext in _DATA_SUFFIXES:
+            if name.endswith(ext) and not name.startswith((".", "_")):
+                return ext[1:]
+    return None
 
 
 def register_views(spark: SparkSession, data_dir: str, csv_schemas: dict | None = None) -> dict[str, str]:
     """IO3 + IO4: create-or-replace one temp view per data file, named by stem.
 
-    Parquet / ORC / JSON entries (files or directories) are read natively; CSV
+    Parquet / ORC / JSON entries (files, or dataset folders with or without an
+    extension in their name) are read natively; CSV
     files are read with a header, using an explicit schema from
     ``csv_schemas[stem]`` when given, else inferred.  A missing directory raises
     ``FileNotFoundError``.  Returns ``{view_name: path}``.
     """
     registered: dict[str, str] = {}
-    for fname in _list_dir(spark, data_dir):
+    for fname, is_dir in _list_dir(spark, data_dir):
         stem, ext = os.path.splitext(fname)
-        if ext not in _DATA_SUFFIXES or stem.startswith((".", "_")):
-            continue
         path = f"{data_dir.rstrip('/')}/{fname}"
+        if stem.startswith((".", "_")):
+            continue
+        if ext not in _DATA_SUFFIXES:
+            # a dataset folder written by Spark, named without an extension
+            fmt = _dataset_format(spark, path) if is_dir else None
+            if fmt is None:
+                continue
+            ext = "." + fmt
         if ext == ".csv":
             from tessera.sources.csv import scan_csv
 

@@ -73,3 +73,29 @@ def test_sql_text_session_stats(spark, sample_dir):
     ss = spark.sql(COUNTRY_SESSIONS)
     results = run_checks(ss, suggest_checks(ss))
     assert summary_line(results) == "5 passed  ·  2 failed"
+
+
+def test_register_views_dataset_folders(spark, tmp_path):
+    d = tmp_path / "warehouse"
+    spark.range(5).write.parquet(str(d / "numbers"))
+    spark.range(3).write.json(str(d / "small.json"))
+    views = register_views(spark, str(d))
+    assert set(views) == {"numbers", "small"}
+    assert spark.sql("SELECT COUNT(*) FROM numbers").first()[0] == 5
+
+
+def test_broadcast_if_small(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.joins import broadcast_if_small
+
+    big = spark.range(1000)
+    small = spark.range(10).withColumn("x", F.lit(1))
+    j = big.join(broadcast_if_small(small, max_rows=100), "id")
+    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j2 = big.join(broadcast_if_small(spark.range(500).withColumn("x", F.lit(1)), max_rows=100), "id")
+        assert "BroadcastHashJoin" not in j2._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
