@@ -24,7 +24,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DayTimeIntervalType, NumericType, YearMonthIntervalType
+from pyspark.sql.types import (ArrayType, DayTimeIntervalType, DoubleType, FloatType, MapType, NumericType,
+                               StructType, YearMonthIntervalType)
 
 from tessera.checks import model as m
 from tessera.operators.rollups import excess_copies
@@ -84,6 +85,13 @@ def validate_checks(df: DataFrame, checks: list[m.Check]) -> dict[int, str]:
     return errors
 
 
+def _normalized(c, dt):
+    if isinstance(dt, (FloatType, DoubleType)):
+        return (F.when(F.isnan(c), F.lit(float("nan")).cast(dt))
+                .when(c == F.lit(0.0), F.lit(0.0).cast(dt)).otherwise(c))
+    return c
+
+
 def count_duplicate_rows(df: DataFrame, strategy: str = "auto") -> int:
     """Number of distinct full-row values that occur more than once.
 
@@ -92,12 +100,17 @@ def count_duplicate_rows(df: DataFrame, strategy: str = "auto") -> int:
     whose hash repeats; the first shuffle then carries 12 bytes per row
     instead of the whole row.  NULL equals NULL in both (grouping semantics).
     """
-    cols = [F.col(m.q(f.name)) for f in df.schema.fields]
+    fields = df.schema.fields
+    cols = [F.col(m.q(f.name)) for f in fields]
+    # Grouping treats -0.0 = 0.0 and every NaN as equal; a row hash only does
+    # after normalising.  Nested types (maps cannot be hashed at all) group directly.
+    hashable = all(not isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in fields)
     if strategy == "auto":
-        strategy = "hashed" if len(cols) > 4 else "direct"
-    if strategy == "direct":
+        strategy = "hashed" if len(cols) > 4 and hashable else "direct"
+    if strategy == "direct" or not hashable:
         return df.groupBy(*cols).count().filter(F.col("count") > 1).count()
-    hashed = df.select(*cols, F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
+    keyed = [_normalized(F.col(m.q(f.name)), f.dataType) for f in fields]
+    hashed = df.select(*cols, F.xxhash64(*keyed).alias("_h1"), F.hash(*keyed).alias("_h2"))
     repeated = (hashed.groupBy("_h1", "_h2").count().filter(F.col("count") > 1).select("_h1", "_h2"))
     candidates = hashed.join(repeated, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
     return candidates.groupBy(*cols).count().filter(F.col("count") > 1).count()

@@ -183,3 +183,14 @@ def test_wide_table_validation(spark):
     assert set(errors) == {60, 61}
     res = run_checks(df, checks).orderBy("position").collect()
     assert [r["status"] for r in res[:60]] == ["PASS"] * 60 and res[61]["status"] == "ERROR"
+
+
+def test_duplicates_float_normalisation_and_maps(spark):
+    rows = [(0.0, "a", 1, 1, 1), (-0.0, "a", 1, 1, 1), (float("nan"), "b", 1, 1, 1), (float("nan"), "b", 1, 1, 1),
+            (1.5, "c", 1, 1, 1)]
+    df = spark.createDataFrame(rows, "x double, s string, a int, b int, c int")
+    assert count_duplicate_rows(df, "direct") == 2
+    assert count_duplicate_rows(df, "hashed") == 2
+    maps = spark.sql("SELECT map('k', id % 2) AS m, id % 2 AS a, 1 AS b, 1 AS c, 1 AS d, 1 AS e FROM range(6)")
+    assert count_duplicate_rows(maps, "auto") == 2
+    assert count_duplicate_rows(maps, "hashed") == 2
