@@ -76,14 +76,19 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     ``(p, v)`` with a partially aggregated ``groupBy``, runs the window over
     the distinct values only (rank = 1 + rows strictly ahead), and joins the
     rank back on ``(p, v)``.  A hot partition value then costs one row per
-    distinct order value instead of one row per input row.  ``df`` is read
-    twice (histogram and join back): materialize an expensive input first.
+    distinct order value instead of one row per input row.  ``method="split"``
+    also range-splits each partition's distinct values by approximate
+    quantiles (numeric / date / timestamp order columns), for a hot partition
+    that also has very many distinct values.  ``df`` is read twice (histogram
+    and join back): materialize an expensive input first.
     """
     if method == "window":
         w = Window.partitionBy(partition_col).orderBy(_order(order_col, descending))
         return df.withColumn(name, F.percent_rank().over(w))
     hist = df.groupBy(F.col(partition_col).alias("_p"), F.col(order_col).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
+    if method == "split":
+        return _join_ranks(df, partition_col, order_col, _split_ranks(hist, descending, name), name)
     ahead = (Window.partitionBy("_p").orderBy(_order("_v", descending))
              .rowsBetween(Window.unboundedPreceding, -1))
     total = Window.partitionBy("_p")
@@ -94,8 +99,51 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     ranks = ranks.select("_p", "_v", F.when(F.col("_n") <= 1, F.lit(0.0))
                          .otherwise(F.col("_ahead").cast("double") / (F.col("_n") - 1).cast("double"))
                          .alias(name))
+    return _join_ranks(df, partition_col, order_col, ranks, name)
+
+
+def _join_ranks(df: DataFrame, partition_col: str, order_col: str, ranks: DataFrame, name: str) -> DataFrame:
     cond = (df[partition_col].eqNullSafe(ranks["_p"])) & (df[order_col].eqNullSafe(ranks["_v"]))
-    return df.join(ranks, cond, "inner").drop("_p", "_v")
+    return df.join(ranks.select("_p", "_v", name), cond, "inner").drop("_p", "_v")
+
+
+def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int = 64,
+                 accuracy: int = 10000) -> DataFrame:
+    """Exact percent rank from a ``(_p, _v, _c)`` histogram, range-split by value.
+
+    Each partition value gets ``splits - 1`` approximate quantile boundaries
+    (``percentile_approx``, a bounded sketch per group, combined map-side).  A
+    value's bucket is the number of boundaries below it (equal values share a
+    bucket; NULL is bucket -1, which is last in descending and first in
+    ascending order, like Spark's default NULL ordering).  The rank is then the
+    rows of better buckets (window over at most ``splits`` rows per partition)
+    plus the rows ahead inside the bucket (window per ``(partition, bucket)``),
+    so a partition value holding a third of the data is spread over ``splits``
+    window tasks instead of one.
+    """
+    qs = [i / splits for i in range(1, splits)]
+    bounds = (hist.groupBy(F.col("_p").alias("_bp"))
+              .agg(F.percentile_approx("_v", qs, accuracy).alias("_bounds")))
+    bucket = F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(
+        F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_v"))))
+    bucketed = hist.join(bounds, F.col("_p").eqNullSafe(F.col("_bp"))).select(
+        "_p", "_v", "_c", bucket.alias("_b"))
+    better = Window.unboundedPreceding, -1
+    per_bucket = bucketed.groupBy(F.col("_p").alias("_op"), F.col("_b").alias("_ob")).agg(
+        F.sum("_c").alias("_bc"))
+    offsets = per_bucket.select(
+        "_op", "_ob",
+        F.coalesce(F.sum("_bc").over(Window.partitionBy("_op").orderBy(_order("_ob", descending))
+                                     .rowsBetween(*better)), F.lit(0)).alias("_off"),
+        F.sum("_bc").over(Window.partitionBy("_op")).alias("_n"))
+    local = bucketed.select(
+        "_p", "_v", "_b",
+        F.coalesce(F.sum("_c").over(Window.partitionBy("_p", "_b").orderBy(_order("_v", descending))
+                                    .rowsBetween(*better)), F.lit(0)).alias("_in"))
+    joined = local.join(offsets, F.col("_p").eqNullSafe(F.col("_op")) & (F.col("_b") == F.col("_ob"))).select(
+        "_p", "_v", (F.col("_off") + F.col("_in")).alias("_ahead"), "_n")
+    return joined.select("_p", "_v", F.when(F.col("_n") <= 1, F.lit(0.0))
+                         .otherwise(F.col("_ahead").cast("double") / (F.col("_n") - 1).cast("double")).alias(name))
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:

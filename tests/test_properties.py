@@ -80,3 +80,15 @@ def test_fused_counts_brute_force(spark, rows):
     assert res["email__not_null"] == sum(e is None for _, e in rows)
     assert res["email__email_format"] == sum(e in ("bad", "q@r") for _, e in rows)
     assert res["total_count__non_negative"] == 0
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(min_value=-50, max_value=50))),
+                min_size=1, max_size=60), st.booleans())
+def test_percent_rank_split_equals_window(spark, rows, descending):
+    df = spark.createDataFrame(rows, "p string, v int")
+    a = sorted((tuple(r) for r in percent_rank_within(df, "p", "v", descending=descending, name="r",
+                                                      method="split").collect()), key=repr)
+    b = sorted((tuple(r) for r in percent_rank_within(df, "p", "v", descending=descending, name="r",
+                                                      method="window").collect()), key=repr)
+    assert a == b

@@ -94,3 +94,12 @@ def test_fused_checks_on_skew(spark, skewed):
         skewed, [M.non_negative("v"), M.unique("k"), M.not_null("k")]).collect()}
     assert res["k__not_null"] == 0 and res["v__non_negative"] == 0
     assert res["k__unique"] == N - skewed.select("k").distinct().count()
+
+
+def test_percent_rank_split_hot_partition_many_values(spark, skewed):
+    df = skewed.select("k", F.col("id").alias("v"))          # hot key 0 has N/3 distinct values
+    a = sorted((tuple(r) for r in percent_rank_within(df, "k", "v", name="r", method="split").collect()), key=repr)
+    b = sorted((tuple(r) for r in percent_rank_within(df, "k", "v", name="r", method="window").collect()), key=repr)
+    assert a == b
+    p = plan(percent_rank_within(df, "k", "v", name="r", method="split"))
+    assert "percentile_approx" in p
