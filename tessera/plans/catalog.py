@@ -215,6 +215,11 @@ def q_percent_rank_group(spark, sf):
     return W.percent_rank_within(totals, "event_type", "events", name="pct_rank")
 
 
+def q_percent_rank_group_split(spark, sf):
+    totals = materialize(_user_totals(spark, sf), "user-totals")
+    return W.percent_rank_within(totals, "event_type", "events", name="pct_rank", method="split")
+
+
 def q_percent_rank_group_window(spark, sf):
     return W.percent_rank_within(_user_totals(spark, sf), "event_type", "events", name="pct_rank",
                                  method="window")
@@ -386,6 +391,7 @@ def catalog() -> dict[str, Query]:
         "period_over_period_all": q_period_over_period_all,
         "percent_rank_group": q_percent_rank_group,
         "percent_rank_group_window": q_percent_rank_group_window,
+        "percent_rank_group_split": q_percent_rank_group_split,
         "top_k": q_top_k,
         "download_growth_report": q_download_growth_report,
         "user_order_summary": q_user_order_summary,
