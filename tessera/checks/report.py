@@ -26,10 +26,10 @@ def summary_line(results: DataFrame) -> str:
     return "  ·  ".join(parts)
 
 
-def check_sql(check: m.Check, source: str, columns: list[str] | None = None) -> str:
+def check_sql(check: m.Check, source: str, columns: list[str] | None = None, condition: str | None = None) -> str:
     """Re-runnable SQL over a table or view name; returns ``failing_rows``."""
     if check.kind == m.ROW:
-        return f"SELECT COUNT(*) AS failing_rows FROM {source} WHERE {check.condition}"
+        return f"SELECT COUNT(*) AS failing_rows FROM {source} WHERE {condition or check.condition}"
     if check.kind == m.EMPTY:
         return f"SELECT CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS failing_rows FROM {source}"
     if check.kind == m.UNIQUE:
@@ -44,13 +44,18 @@ def check_sql(check: m.Check, source: str, columns: list[str] | None = None) ->
 
 
 def export_checks(spark, checks: list[m.Check], results: DataFrame | None, source: str,
-                  columns: list[str]) -> DataFrame:
+                  columns: list[str], df: DataFrame | None = None) -> DataFrame:
     """IO6: approved checks with reason, type, column, SQL and last-run status.
 
     ``sql`` runs with ``spark.sql`` against ``source``; the table can be
-    written anywhere (``df.write.saveAsTable``) and re-run later.
+    written anywhere (``df.write.saveAsTable``) and re-run later.  Pass the
+    checked ``df`` so range checks on interval columns compare with an
+    interval zero.
     """
-    rows = [(i + 1, c.name, c.column or "(table-level)", c.test_type, c.reason, check_sql(c, source, columns))
+    from tessera.checks.run import condition_for
+
+    rows = [(i + 1, c.name, c.column or "(table-level)", c.test_type, c.reason,
+             check_sql(c, source, columns, condition_for(df, c) if df is not None and c.kind == m.ROW else None))
             for i, c in enumerate(checks)]
     defs = spark.createDataFrame(rows, "position int, name string, column string, test_type string, "
                                        "reason string, sql string")

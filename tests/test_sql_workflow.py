@@ -99,3 +99,23 @@ def test_broadcast_if_small(spark):
         assert "BroadcastHashJoin" not in j2._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_check_table_job(spark, sample_dir, tmp_path):
+    from tessera.checks.job import check_table
+    from tessera.checks.report import summary_by_run
+
+    register_views(spark, sample_dir, csv_schemas={"users": USERS_SCHEMA, "orders": ORDERS_SCHEMA})
+    uos = spark.sql(ACTIVE_USER_ORDERS)
+    hist, sql = str(tmp_path / "history"), str(tmp_path / "sql")
+    results, msg = check_table(spark, uos, "user_order_summary", history_path=hist, sql_path=sql,
+                               skip=["first_order_date__not_null"], run_id="r1")
+    assert msg == "Running 13 of 14 tests  (1 skipped)"
+    counts = {r["status"]: r["checks"] for r in summary_by_run(spark.read.parquet(hist)).collect()}
+    assert counts == {"PASS": 9, "FAIL": 4}
+    text = "\n".join(r[0] for r in spark.read.text(sql).collect())
+    assert "INTERVAL '0' SECOND" in text                      # tenure is an interval in SQL text
+    statements = [line.rstrip().rstrip(";") for line in text.splitlines() if line.startswith("SELECT")]
+    assert len(statements) == 13
+    for stmt in statements:
+        spark.sql(stmt).collect()                             # every exported statement runs
