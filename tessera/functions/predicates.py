@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 # would lose 'ZA').
 VALID_CODE_PATTERN = r"^[A-Z]{2}$"
 # Package names of throw-away projects: prefixes test-, temp-, demo- and the
-# suffix -test, expressed as one rule.
+# suffix -test, as one rule (regex form, and the same rule as prefix/suffix lists).
 EXCLUDED_PROJECT_PATTERN = r"^(test|temp|demo)-|-test$"
+EXCLUDED_PROJECT_PREFIXES = ("test-", "temp-", "demo-")
+EXCLUDED_PROJECT_SUFFIXES = ("-test",)
 # ---------------------------------------------------------------------------
 
 
@@ -119,9 +121,23 @@ def valid_code(c) -> Column:
     return _col(c).rlike(VALID_CODE_PATTERN)
 
 
-def not_excluded_project(c) -> Column:
-    """the four NOT LIKE conditions as one regex rule."""
-    return ~_col(c).rlike(EXCLUDED_PROJECT_PATTERN)
+def not_excluded_project(c, use_regex: bool = False) -> Column:
+    """the four NOT LIKE conditions as one rule.
+
+    By default the rule is built from ``startswith`` / ``endswith``, which
+    Spark evaluates without a regex engine per row (and can hand to the
+    parquet reader as string-prefix filters); ``use_regex=True`` gives the
+    single-regex form.  Both treat NULL alike (the row is dropped).
+    """
+    col = _col(c)
+    if use_regex:
+        return ~col.rlike(EXCLUDED_PROJECT_PATTERN)
+    hit = None
+    for p in EXCLUDED_PROJECT_PREFIXES:
+        hit = col.startswith(p) if hit is None else hit | col.startswith(p)
+    for sfx in EXCLUDED_PROJECT_SUFFIXES:
+        hit = hit | col.endswith(sfx)
+    return ~hit
 
 
 def all_of(*preds: Column) -> Column:

@@ -77,6 +77,9 @@ def test_code_and_project_rules(spark):
     df = spark.createDataFrame([(n,) for n in names], "p string")
     kept = sorted(r[0] for r in df.filter(P.not_excluded_project("p")).collect())
     assert kept == sorted(["contest", "testing", "my-tests", "attest-x"])
+    assert kept == sorted(r[0] for r in df.filter(P.not_excluded_project("p", use_regex=True)).collect())
+    with_null = spark.createDataFrame([(None,), ("a-test",), ("b",)], "p string")
+    assert [r[0] for r in with_null.filter(P.not_excluded_project("p")).collect()] == ["b"]
 
 
 def test_in_list_and_like(spark):

@@ -68,6 +68,14 @@ def main():
         lambda: li.filter(F.col("l_shipdate").cast("string").like("1998-01-%")).agg(F.count(F.lit(1))).collect(),
         repeat)
 
+    names = D.table(spark, sf, "lineitem").join(D.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    names = names.select(F.concat(F.col("p_name"), F.lit("-"), F.col("l_returnflag")).alias("project"))
+    out["project_rule_prefix_suffix"] = timed(
+        lambda: names.filter(P.not_excluded_project("project")).agg(F.count(F.lit(1))).collect(), repeat)
+    out["project_rule_regex"] = timed(
+        lambda: names.filter(P.not_excluded_project("project", use_regex=True)).agg(F.count(F.lit(1))).collect(),
+        repeat)
+
     dl = lambda: D.downloads_from_lineitem(spark, sf)
     args = dict(min_downloads=C.DL_MIN, distinct="exact")
     out["report_histogram_materialized"] = timed(
