@@ -159,6 +159,8 @@ def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto"
     when more than one job will read it (fused pass + grouped passes); use it
     when ``df`` is an expensive query result rather than a table scan.
     """
+    if df.isStreaming:
+        raise ValueError("run_checks needs a batch DataFrame; use tessera.streaming.checks for streams")
     spark = df.sparkSession
     kinds = {c.kind for c in checks}
     if materialize and (kinds - {m.ROW, m.EMPTY}) and len(checks) > 1:

@@ -194,3 +194,21 @@ def test_duplicates_float_normalisation_and_maps(spark):
     maps = spark.sql("SELECT map('k', id % 2) AS m, id % 2 AS a, 1 AS b, 1 AS c, 1 AS d, 1 AS e FROM range(6)")
     assert count_duplicate_rows(maps, "auto") == 2
     assert count_duplicate_rows(maps, "hashed") == 2
+
+
+def test_awkward_column_names(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, 2, "x")], "`a.b` int, `weird``id` int, `total amount` string")
+    df = df.toDF("a.b", "weird`id", "user.id")
+    res = _counts(run_checks(df, [M.not_null("a.b"), M.unique("a.b"), M.not_null("weird`id"),
+                                  M.no_duplicate_rows(), M.unique("user.id")]))
+    assert res["a.b__not_null"] == (0, "PASS") and res["a.b__unique"] == (1, "FAIL")
+    assert res["weird`id__not_null"] == (1, "FAIL")
+    assert res["table__no_duplicate_rows"] == (0, "PASS")
+    assert res["user.id__unique"] == (1, "FAIL")
+
+
+def test_streaming_input_rejected(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "s"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "s"))
+    with pytest.raises(ValueError):
+        run_checks(stream, [M.not_null("id")])
