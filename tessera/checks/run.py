@@ -152,21 +152,38 @@ def _run_grouped(df: DataFrame, check: m.Check, duplicates: str) -> int:
 
 
 def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto",
-               max_parallel: int = 4, materialize: bool = False) -> DataFrame:
+               max_parallel: int = 4, materialize: bool = False, persist: bool = False) -> DataFrame:
     """Run ``checks`` on ``df``; returns the results DataFrame (RESULT_SCHEMA).
 
-    ``materialize=True`` writes ``df`` once to the shared checkpoint folder
-    when more than one job will read it (fused pass + grouped passes); use it
-    when ``df`` is an expensive query result rather than a table scan.
+    When more than one job will read ``df`` (fused pass + grouped passes) and
+    ``df`` is an expensive query result rather than a table scan:
+    ``materialize=True`` writes it once to the shared checkpoint folder (a
+    lineage cut that survives executor loss), ``persist=True`` caches it
+    (MEMORY_AND_DISK, recomputed from lineage if an executor is lost) and
+    unpersists it before returning.
     """
     if df.isStreaming:
         raise ValueError("run_checks needs a batch DataFrame; use tessera.streaming.checks for streams")
-    spark = df.sparkSession
     kinds = {c.kind for c in checks}
-    if materialize and (kinds - {m.ROW, m.EMPTY}) and len(checks) > 1:
+    several_passes = bool(kinds - {m.ROW, m.EMPTY}) and len(checks) > 1
+    if materialize and several_passes:
         from tessera.sources.sinks import materialize as _write
 
         df = _write(df, "checked-input")
+    elif persist and several_passes:
+        from pyspark import StorageLevel
+
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # the results are built from collected counts, so the cache can go
+            return _run_checks(cached, checks, duplicates, max_parallel)
+        finally:
+            cached.unpersist()
+    return _run_checks(df, checks, duplicates, max_parallel)
+
+
+def _run_checks(df: DataFrame, checks: list[m.Check], duplicates: str, max_parallel: int) -> DataFrame:
+    spark = df.sparkSession
     outcome: dict[int, tuple[int | None, str | None]] = {}
     fused: list[tuple[int, m.Check]] = []
     grouped: list[tuple[int, m.Check]] = []

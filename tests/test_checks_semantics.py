@@ -212,3 +212,15 @@ def test_streaming_input_rejected(spark, tmp_path):
     stream = spark.readStream.schema("id long").parquet(str(tmp_path / "s"))
     with pytest.raises(ValueError):
         run_checks(stream, [M.not_null("id")])
+
+
+def test_persist_and_materialize_agree(spark, users, orders):
+    from tessera.checks.rules import suggest_checks
+    from tessera.plans.reports import user_order_summary
+
+    uos = user_order_summary(users, orders)
+    checks = suggest_checks(uos)
+    plain = _counts(run_checks(uos, checks))
+    assert _counts(run_checks(uos, checks, persist=True)) == plain
+    assert _counts(run_checks(uos, checks, materialize=True)) == plain
+    assert not uos.is_cached
