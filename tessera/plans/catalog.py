@@ -300,20 +300,20 @@ def q_run_checks(spark, sf):
 
 
 def q_auto_check(spark, sf):
-    return _results(auto_check(q_user_order_summary(spark, sf), materialize=True))
+    return _results(auto_check(q_user_order_summary(spark, sf), persist=True))
 
 
 def q_dq_user_order_summary(spark, sf):
     return _results(auto_check(q_user_order_summary(spark, sf), skip=["first_order_date__not_null"],
-                               materialize=True))
+                               persist=True))
 
 
 def q_dq_session_stats(spark, sf):
-    return _results(auto_check(q_session_stats(spark, sf), materialize=True))
+    return _results(auto_check(q_session_stats(spark, sf), persist=True))
 
 
 def q_check_summary(spark, sf):
-    return summarize(auto_check(q_user_order_summary(spark, sf), materialize=True))
+    return summarize(auto_check(q_user_order_summary(spark, sf), persist=True))
 
 
 def q_export_checks(spark, sf):
