@@ -71,5 +71,6 @@ def approx_distinct_with_check(df: DataFrame, key: str, column: str, rsd: float
     return (df.groupBy(key)
             .agg(F.approx_count_distinct(column, rsd).alias("approx_distinct"),
                  F.count_distinct(column).alias("exact_distinct"))
-            .select(key, (F.abs(F.col("approx_distinct") - F.col("exact_distinct"))
-                          <= F.lit(tolerance) * F.col("exact_distinct")).alias("within_tolerance")))
+            .select(key, "exact_distinct",
+                    (F.abs(F.col("approx_distinct") - F.col("exact_distinct"))
+                     <= F.lit(tolerance) * F.col("exact_distinct")).alias("within_tolerance")))
