@@ -47,11 +47,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only set one when unset.
 
-    On a cluster this is a shared folder named by the deployment.  Only a
-    local/test session without the setting gets a fresh scratch folder.
+    On a cluster this is a shared folder named by the deployment, and a
+    missing setting is an error.  Only a local/test session without the
+    setting gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) that "
+                               "every executor can read; tessera writes lineage cuts there")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
