@@ -45,3 +45,27 @@ def incremental_merge(target: DataFrame, source: DataFrame, key: list[str], ts:
     hwm = high_water_mark(target, ts) if since is None else since
     return merge_latest(target, new_rows(source, ts, hwm), key, ts)
 
+
+
+def merge_into_partitions(target_path: str, delta: DataFrame, key: list[str], ts: str,
+                          partition_col: str) -> list:
+    """Merge ``delta`` into a parquet table partitioned by ``partition_col``,
+    rewriting only the partitions the delta touches.
+
+    ``partition_col`` must not change between versions of a key (e.g. a key
+    bucket or a creation date), otherwise an old version would survive in its
+    old partition.  Steps: the touched partition values (one row per value),
+    a semi join that prunes the target to them, ``merge_latest``, a write of
+    the merged partitions to the shared checkpoint folder (so the job never
+    reads and overwrites the same files at once), then a dynamic partition
+    overwrite.  Returns the partition values that were rewritten.
+    """
+    from tessera.sources.sinks import materialize, write_table
+
+    spark = delta.sparkSession
+    touched = delta.select(partition_col).distinct()
+    target = spark.read.parquet(target_path)
+    scoped = target.join(touched, partition_col, "left_semi")
+    merged = materialize(merge_latest(scoped.select(*delta.columns), delta, key, ts), "merge-stage")
+    write_table(merged, target_path, mode="overwrite", partition_by=[partition_col])
+    return [r[0] for r in touched.collect()]

@@ -92,3 +92,21 @@ def test_percent_rank_split_equals_window(spark, rows, descending):
     b = sorted((tuple(r) for r in percent_rank_within(df, "p", "v", descending=descending, name="r",
                                                       method="window").collect()), key=repr)
     assert a == b
+
+
+def test_merge_into_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.incremental import merge_into_partitions
+
+    path = str(tmp_path / "orders_by_bucket")
+    base = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 4).alias("bucket"),
+                                  F.lit(1).alias("ts"), F.lit("old").alias("v"))
+    base.write.partitionBy("bucket").parquet(path)
+    delta = spark.createDataFrame([(1, 1, 2, "new"), (5, 1, 0, "stale"), (41, 1, 3, "insert")],
+                                  "k long, bucket long, ts int, v string")
+    touched = merge_into_partitions(path, delta, ["k"], "ts", "bucket")
+    assert touched == [1]
+    out = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert len(out) == 41 and out[1] == "new" and out[5] == "old" and out[41] == "insert"
+    assert out[2] == "old" and out[0] == "old"          # untouched partitions keep their rows
