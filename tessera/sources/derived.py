@@ -83,7 +83,7 @@ def downloads_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("l_shipdate").alias("timestamp"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("country_code"),
-        F.struct(F.regexp_replace(F.col("p_name"), " ", "-").alias("project"),
+        F.struct(F.translate(F.col("p_name"), " ", "-").alias("project"),
                  F.concat(line.cast("string"), F.lit(".0"),
                           F.when(F.col("l_returnflag") == "R", F.lit("rc1")).otherwise(F.lit("")))
                  .alias("version")).alias("file"),
@@ -105,7 +105,7 @@ def users_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     code from the market segment (three letters for AUTOMOBILE); inactive when
     the account balance is negative."""
     c = table(spark, sf_dir, "customer")
-    base = F.lower(F.regexp_replace(F.col("c_name"), "#", "."))
+    base = F.lower(F.translate(F.col("c_name"), "#", "."))
     email = (F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string"))
              .when(F.col("c_mktsegment") == "MACHINERY", F.concat(base, F.lit("@example")))
              .otherwise(F.concat(base, F.lit("@example.com"))))
