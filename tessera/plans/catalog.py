@@ -236,6 +236,20 @@ def q_download_growth_report(spark, sf):
                                      min_downloads=DL_MIN, distinct="exact", limit=1000)
 
 
+def q_download_growth_report_daily_history(spark, sf):
+    """C4 with the history read from a per-(package, day) rollup table.
+
+    The rollup is written partitioned by month under the shared folder (a
+    daily job would only rewrite its month), then summed for the days before
+    the window."""
+    d = D.downloads_from_lineitem(spark, sf)
+    daily = RP.package_daily_counts(d).repartition("month")
+    path = write_table(daily, scratch_path(spark, "package-daily"), partition_by=["month"])
+    history = RP.history_from_daily(spark.read.parquet(path), DL_START)
+    return RP.download_growth_report(d, DL_START, DL_END, min_downloads=DL_MIN, distinct="exact", limit=1000,
+                                     history=history)
+
+
 def q_user_order_summary(spark, sf):
     return RP.user_order_summary(D.users_from_customer(spark, sf), D.orders_view(spark, sf))
 
@@ -394,6 +408,7 @@ def catalog() -> dict[str, Query]:
         "percent_rank_group_split": q_percent_rank_group_split,
         "top_k": q_top_k,
         "download_growth_report": q_download_growth_report,
+        "download_growth_report_daily_history": q_download_growth_report_daily_history,
         "user_order_summary": q_user_order_summary,
         "check_row_count_positive": q_check_row_count_positive,
         "check_no_duplicate_rows": q_check_no_duplicate_rows,

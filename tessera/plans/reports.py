@@ -98,6 +98,28 @@ def download_history(downloads: DataFrame, before) -> DataFrame:
                                  "package_name", "timestamp", before)
 
 
+def package_daily_counts(downloads: DataFrame, start=None, end=None) -> DataFrame:
+    """Downloads per (package, day): the incremental form of the history.
+
+    Carries a ``month`` column for the table layout: written with
+    ``write_table(df.repartition("month"), path, partition_by=["month"])``
+    (dynamic overwrite), a daily job rewrites only the current month and each
+    month is one file set, while the report's history becomes a scan of this
+    small table instead of years of raw log.
+    """
+    return (downloads.filter(P.time_range("timestamp", start, end))
+            .groupBy(F.col("file.project").alias("package_name"), S.to_day("timestamp").alias("day"))
+            .agg(F.count(F.lit(1)).alias("downloads"))
+            .withColumn("month", F.trunc("day", "MM")))
+
+
+def history_from_daily(daily: DataFrame, before) -> DataFrame:
+    """Stage 2 from the daily rollup: downloads per package before ``before``."""
+    before_day = F.to_date(P._ts_lit(before))
+    return (daily.filter(F.col("day") < before_day).groupBy("package_name")
+            .agg(F.sum("downloads").cast("bigint").alias("historical_downloads")))
+
+
 GROUP_KEYS = ["package_name", "version_string", "country_code", "cleaned_version_num",
               "python_env_version", "installer_type", "environment_fingerprint"]
 
@@ -118,7 +140,8 @@ def aggregate_downloads(cleaned: DataFrame, min_downloads: int = 1000, distinct:
 
 def download_growth_report(downloads: DataFrame, start, end, history_before=None,
                            min_downloads: int = 1000, distinct: str = "approx", limit: int | None = 1000,
-                           rank_method: str = "histogram", materialize_groups: bool = True) -> DataFrame:
+                           rank_method: str = "histogram", materialize_groups: bool = True,
+                           history: DataFrame | None = None) -> DataFrame:
     """C4 end to end.
 
     With ``materialize_groups`` (default) the post-HAVING groups are written
@@ -126,10 +149,14 @@ def download_growth_report(downloads: DataFrame, start, end, history_before=None
     (histogram and join back), and without the write Spark would recompute
     the scan, join and aggregate for each branch.  The write is also a lineage
     cut, so a lost executor does not send the report back to the raw log.
+    ``history`` replaces the scan of all earlier raw rows with a prepared
+    ``(package_name, historical_downloads)`` table, e.g.
+    ``history_from_daily(package_daily_counts_table, start)``.
     """
     history_before = start if history_before is None else history_before
     aggregated = aggregate_downloads(clean_downloads(downloads, start, end), min_downloads, distinct)
-    history = download_history(downloads, history_before)
+    if history is None:
+        history = download_history(downloads, history_before)
     agg_prev = (aggregated.join(history, "package_name", "left")
                 .withColumn("growth_pct", S.pct_change("total_downloads", "historical_downloads"))
                 .withColumn("historical_downloads", S.default_zero("historical_downloads")))

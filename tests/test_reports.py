@@ -145,3 +145,17 @@ def test_topn_ties_exact(spark):
     out = topn_per_group(df, ["g"], "v", n=3, tie_breaker="id")
     assert sorted(r["id"] for r in out.collect()) == [0, 1, 2]
     assert out.agg(F.max("rn")).first()[0] == 3
+
+
+def test_history_from_daily_rollup_equals_scan(spark):
+    dl = _downloads(spark)
+    direct = {r["package_name"]: r["historical_downloads"] for r in RP.download_history(dl, "2023-01-01").collect()}
+    daily = RP.package_daily_counts(dl)
+    assert set(daily.columns) == {"package_name", "day", "downloads", "month"}
+    rolled = {r["package_name"]: r["historical_downloads"]
+              for r in RP.history_from_daily(daily, "2023-01-01").collect()}
+    assert rolled == direct == {"alpha": 3}
+    rep_a = RP.download_growth_report(dl, "2023-01-01", "2023-02-01", min_downloads=2, distinct="exact")
+    rep_b = RP.download_growth_report(dl, "2023-01-01", "2023-02-01", min_downloads=2, distinct="exact",
+                                      history=RP.history_from_daily(daily, "2023-01-01"))
+    assert sorted(map(tuple, rep_a.collect()), key=repr) == sorted(map(tuple, rep_b.collect()), key=repr)
