@@ -110,3 +110,42 @@ def test_merge_into_partitions(spark, tmp_path):
     out = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
     assert len(out) == 41 and out[1] == "new" and out[5] == "old" and out[41] == "insert"
     assert out[2] == "old" and out[0] == "old"          # untouched partitions keep their rows
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 23), st.integers(0, 5)), min_size=1, max_size=40),
+       st.integers(1, 4))
+def test_period_over_period_brute_force(spark, rows, last_n):
+    import datetime as dt
+
+    from tessera.operators.windows import daily_rollup, period_over_period
+    from pyspark.sql import functions as F
+
+    base = dt.datetime(2024, 3, 1)
+    data = [(i, base + dt.timedelta(days=d, hours=h), g) for i, (d, h, g) in enumerate(rows)]
+    df = spark.createDataFrame(data, "number long, timestamp timestamp_ntz, gas_used long")
+    daily = daily_rollup(df, "timestamp", {"total_blocks": F.count("number"), "total_gas_used": F.sum("gas_used")})
+    got = {r["calendar_day"]: tuple(r) for r in
+           period_over_period(daily, ["total_blocks", "total_gas_used"], last_n=last_n).collect()}
+    per_day = {}
+    for _, ts, g in data:
+        c, s = per_day.get(ts.date(), (0, 0))
+        per_day[ts.date()] = (c + 1, s + g)
+    days = sorted(per_day)
+
+    def pct(cur, prev):
+        from decimal import ROUND_HALF_UP, Decimal
+
+        if prev in (None, 0):
+            return None
+        x = (cur - prev) * 100.0 / prev   # Spark rounds the double's decimal text HALF_UP
+        return float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+    exp = {}
+    for i, d in enumerate(days):
+        if d <= days[-1] - dt.timedelta(days=last_n):
+            continue
+        (c, s), prev = per_day[d], (per_day[days[i - 1]] if i else (None, None))
+        exp[d] = (d, c, s, None if prev[0] is None else c - prev[0], None if prev[1] is None else s - prev[1],
+                  pct(c, prev[0]), pct(s, prev[1]))
+    assert got == exp
