@@ -159,3 +159,13 @@ def test_history_from_daily_rollup_equals_scan(spark):
     rep_b = RP.download_growth_report(dl, "2023-01-01", "2023-02-01", min_downloads=2, distinct="exact",
                                       history=RP.history_from_daily(daily, "2023-01-01"))
     assert sorted(map(tuple, rep_a.collect()), key=repr) == sorted(map(tuple, rep_b.collect()), key=repr)
+
+
+def test_report_rank_methods_agree(spark):
+    dl = _downloads(spark)
+    outs = []
+    for method in ("histogram", "split", "window"):
+        rep = RP.download_growth_report(dl, "2023-01-01", "2023-02-01", min_downloads=2, distinct="exact",
+                                        rank_method=method)
+        outs.append([tuple(r) for r in rep.collect()])          # ordered output: compare as lists
+    assert outs[0] == outs[1] == outs[2]
