@@ -160,7 +160,7 @@ def download_growth_report(downloads: DataFrame, start, end, history_before=None
     agg_prev = (aggregated.join(history, "package_name", "left")
                 .withColumn("growth_pct", S.pct_change("total_downloads", "historical_downloads"))
                 .withColumn("historical_downloads", S.default_zero("historical_downloads")))
-    if materialize_groups and rank_method == "histogram":
+    if materialize_groups and rank_method in ("histogram", "split"):
         agg_prev = materialize(agg_prev, "download-groups")
     ranked = W.percent_rank_within(agg_prev, "country_code", "total_downloads", descending=True,
                                    name="regional_rank", method=rank_method)
