@@ -1,0 +1,45 @@
+"""Suggestion rules over column names, nullability and nullable-side metadata."""
+
+from pyspark.sql import functions as F
+
+from tessera.checks.rules import LEFT_JOIN_SUFFIX, not_null_reason, suggest_checks
+from tessera.operators.joins import left_join_tagged
+
+
+def _names(df):
+    return [c.name for c in suggest_checks(df)]
+
+
+def test_name_patterns(spark):
+    cols = ["id", "ORDER_ID", "paid", "user_email", "country", "countrycode", "country_code", "created_at",
+            "order_date", "num_items", "item_count", "total_price", "order_tenure", "tenure_days", "label"]
+    df = spark.createDataFrame([tuple([None] * len(cols))], ", ".join(f"`{c}` string" for c in cols))
+    names = _names(df)
+    assert names[:2] == ["table__row_count_positive", "table__no_duplicate_rows"]
+    assert names[2:] == [
+        "id__not_null", "id__unique",
+        "ORDER_ID__not_null", "ORDER_ID__unique",
+        "user_email__not_null", "user_email__email_format",
+        "country__not_null", "country__country_code_length",
+        "countrycode__not_null", "countrycode__country_code_length",
+        "country_code__not_null", "country_code__country_code_length",
+        "created_at__not_null", "order_date__not_null",
+        "num_items__non_negative", "item_count__non_negative", "total_price__non_negative",
+        "order_tenure__non_negative", "tenure_days__non_negative"]
+
+
+def test_first_matching_reason_wins():
+    assert not_null_reason("email_id").startswith("'email_id' is an identifier column")
+    assert not_null_reason("paid") is None
+    assert not_null_reason("Signup_At").startswith("'Signup_At' is a timestamp")
+
+
+def test_defaulted_and_nullable_side(spark):
+    left = spark.createDataFrame([(1, "a@b.c")], "user_id bigint, email string")
+    right = spark.createDataFrame([(1, 5, "2024-01-01")], "user_id bigint, total_orders bigint, last_order_date string")
+    j = left_join_tagged(left, right, "user_id").select(
+        "user_id", "email", F.coalesce("total_orders", F.lit(0)).alias("total_orders"), "last_order_date")
+    checks = {c.name: c for c in suggest_checks(j)}
+    assert "total_orders__not_null" not in checks and "total_orders__non_negative" in checks
+    assert checks["last_order_date__not_null"].reason.endswith(LEFT_JOIN_SUFFIX)
+    assert not checks["user_id__not_null"].reason.endswith(LEFT_JOIN_SUFFIX)
