@@ -25,17 +25,23 @@ from tessera.checks.run import run_checks
 from tessera.sources.sinks import scratch_path
 
 
+def write_batch_results(batch: DataFrame, batch_id: int, checks: list[M.Check], results_path: str,
+                        source: str = "stream") -> None:
+    """Check one micro-batch and (over)write its ``batch_id`` partition."""
+    res = (run_checks(batch, checks)
+           .withColumn("source", F.lit(source))
+           .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+    (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(results_path))
+
+
 def check_each_batch(stream: DataFrame, checks: list[M.Check], results_path: str, *,
                      source: str = "stream", checkpoint_location: str | None = None,
                      trigger: dict | None = None) -> StreamingQuery:
     """Start a query that checks every micro-batch and stores the results."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        res = (run_checks(batch, checks)
-               .withColumn("source", F.lit(source))
-               .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(results_path))
+        write_batch_results(batch, batch_id, checks, results_path, source)
 
     spark = stream.sparkSession
     writer = (stream.writeStream.foreachBatch(per_batch)

@@ -47,3 +47,16 @@ def test_windowed_violation_counts(spark, tmp_path):
     total_bad = got.agg(F.sum("bad")).first()[0]
     assert total_rows == ev.count()
     assert total_bad == ev.filter("event_type NOT IN ('click','view','purchase','signup')").count()
+
+
+def test_replayed_batch_is_idempotent(spark, tmp_path):
+    from tessera.streaming.checks import write_batch_results
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    out = str(tmp_path / "res")
+    write_batch_results(ev, 0, CHECKS, out)
+    write_batch_results(ev.limit(10), 1, CHECKS, out)
+    write_batch_results(ev, 0, CHECKS, out)                 # batch 0 replayed after a failure
+    res = spark.read.parquet(out)
+    assert res.filter("batch_id = 0").count() == len(CHECKS)
+    assert res.filter("batch_id = 1").count() == len(CHECKS)
