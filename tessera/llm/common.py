@@ -7,10 +7,9 @@ input, whatever their names, never clash with computed ones.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,9 +94,20 @@ def filter_by_key(docs: DataFrame, keys: DataFrame, columns: dict[str, Column],
     return left.join(right.hint("shuffle_hash"), cond, how).drop(*made)
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def keep_rows(docs: DataFrame, decided: DataFrame, here: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` that ``decided`` marks ``kept``, with all their columns.
 
-
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    ``here`` maps the key columns of ``decided`` to expressions over ``docs``.
+    ``decided`` has one row per input row; where rows agree in the whole key,
+    one of them stays.
+    """
+    keys = list(here)
+    kept = decided.groupBy(*keys).agg(F.count("*").alias("n"), F.max("kept").alias("any_kept")).filter("any_kept")
+    kept = write_stage(kept.select(*keys, "n"), "kept-keys")
+    out = filter_by_key(docs, kept.select(*keys), here, "left_semi")
+    repeated = kept.filter("n > 1").select(*keys)
+    if repeated.isEmpty():
+        return out
+    tmp = {fresh(k): v for k, v in here.items()}
+    once = filter_by_key(out, repeated, here, "left_semi").withColumns(tmp).dropDuplicates(list(tmp)).drop(*tmp)
+    return filter_by_key(out, repeated, here, "left_anti").unionByName(once)

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import doc_text, filter_by_key, same, write_stage
+from tessera.llm.common import doc_text, keep_rows, same, write_stage
 
 #: White space that does not count: space, tab, line feed, vertical tab, form feed, carriage return.
 IGNORED = " \t\n\x0b\x0c\r"
@@ -100,20 +100,10 @@ def exact_groups(docs: DataFrame, least: int = MIN_CHUNK, most: int = MAX_CHUNK,
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns."""
-    keys = ["doc_id", "text_sha256", "n_chars"]
-    groups = write_stage(exact_groups(docs), "exact-groups")
     text = F.coalesce(F.col("text"), F.lit(""))
-    sha = F.sha2(normalised(text).cast("binary"), 256)
-    here = {"doc_id": F.col("doc_id"), "text_sha256": sha, "n_chars": F.char_length(text).cast("long")}
-    out = filter_by_key(docs, groups.filter("kept").select(*keys), here, "left_semi")
-    repeated = groups.groupBy(*keys).agg(F.count("*").alias("n"), F.max("kept").alias("k")).filter("k and n > 1").select(*keys)
-    if repeated.isEmpty():
-        return out
-    # rows that agree in id and text: one of them stays
-    again = filter_by_key(out, repeated, here, "left_semi")
-    tmp = {f"__{k}_again": v for k, v in here.items()}
-    once = again.withColumns(tmp).dropDuplicates(list(tmp)).drop(*tmp)
-    return filter_by_key(out, repeated, here, "left_anti").unionByName(once)
+    here = {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(normalised(text).cast("binary"), 256),
+            "n_chars": F.char_length(text).cast("long")}
+    return keep_rows(docs, write_stage(exact_groups(docs), "exact-groups"), here)
 
 
 def op1_query(spark, sf_dir: str) -> DataFrame:

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.exact_dedup import OP1_SQL, op1_query
+from tessera.llm.simhash import op4_query
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_query,
+        "op4_simhash_near_dedup": op4_query,
     }
 
 
