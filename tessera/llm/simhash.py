@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import doc_text, keep_rows, slices, write_stage
 from tessera.llm.graph import components
@@ -60,7 +61,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *extra: str) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) of every row, and the named extra columns."""
     texts = doc_text(docs, *extra)
-    schema = texts.drop("text").schema.add("fp", "long")
+    schema = T.StructType([*texts.drop("text").schema.fields, T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
