@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.exact_dedup import OP1_SQL, op1_query
 from tessera.llm.packing import op8_query
+from tessera.llm.planes import op3_query
 from tessera.llm.simhash import op4_query
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_query,
+        "op3_bit_planes": op3_query,
         "op4_simhash_near_dedup": op4_query,
         "op8_best_fit_packing": op8_query,
     }
