@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.decontamination import op7_query
 from tessera.llm.exact_dedup import OP1_SQL, op1_query
 from tessera.llm.packing import op8_query
 from tessera.llm.planes import op3_query
+from tessera.llm.quality import op9_query
 from tessera.llm.simhash import op4_query
 
 
@@ -17,7 +19,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_query,
         "op3_bit_planes": op3_query,
         "op4_simhash_near_dedup": op4_query,
+        "op7_decontamination": op7_query,
         "op8_best_fit_packing": op8_query,
+        "op9_quality": op9_query,
     }
 
 
