@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontamination import op7_query
 from tessera.llm.exact_dedup import OP1_SQL, op1_query
+from tessera.llm.langid import op2_query
 from tessera.llm.packing import op8_query
 from tessera.llm.planes import op3_query
 from tessera.llm.quality import op9_query
@@ -17,6 +18,7 @@ from tessera.llm.simhash import op4_query
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_query,
+        "op2_language_id": op2_query,
         "op3_bit_planes": op3_query,
         "op4_simhash_near_dedup": op4_query,
         "op7_decontamination": op7_query,
