@@ -12,6 +12,7 @@ from tessera.llm.langid import op2_query
 from tessera.llm.packing import op8_query
 from tessera.llm.planes import op3_query
 from tessera.llm.quality import op9_query
+from tessera.llm.secrets import op6_query
 from tessera.llm.simhash import op4_query
 
 
@@ -21,6 +22,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": op2_query,
         "op3_bit_planes": op3_query,
         "op4_simhash_near_dedup": op4_query,
+        "op6_secret_scan": op6_query,
         "op7_decontamination": op7_query,
         "op8_best_fit_packing": op8_query,
         "op9_quality": op9_query,
