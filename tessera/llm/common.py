@@ -73,6 +73,22 @@ def sample_rows(rows: DataFrame, limit: int, total: int, key: Column, seed: int
     return rows.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)) < int(buckets * limit / total))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int,
+                    held_out: int) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, text, label of about ``per_class`` labelled rows of each class, outside the held-out fold.
+
+    Also the number of such rows of each class.  Rows with a null id or label are left out.
+    """
+    taught = labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
+    taught = taught.filter(F.col("label").isin(0, 1) & F.col("label_id").isNotNull() & (fold(F.col("label_id"), folds) != held_out))
+    totals = {r["label"]: r["count"] for r in taught.groupBy("label").count().collect()}
+    some = [sample_rows(taught.filter(F.col("label") == v), per_class, n, F.col("label_id")) for v, n in sorted(totals.items())]
+    sample = some[0].unionByName(some[-1]).distinct() if some else taught.limit(0)
+    texts = doc_text(docs)
+    # the sample is about 2 * per_class ids
+    return texts.join(F.broadcast(sample), texts.doc_id == sample.label_id).select("doc_id", "text", "label"), totals
+
+
 def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import doc_text, fold, read_table, sample_rows, slices
+from tessera.llm.common import doc_text, fold, labelled_sample, read_table, slices
 
 FOLDS, HELD_OUT = 5, 0
 PER_CLASS = 1500
@@ -118,26 +118,17 @@ def _latent(rows: np.ndarray, dimensions: int) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS,
         dimensions: int = DIMENSIONS, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
     """Fits on labelled rows outside the held-out fold; ``labels`` has doc_id and ``label`` (0 or 1)."""
-    taught = labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
-    taught = taught.filter(F.col("label").isin(0, 1) & F.col("label_id").isNotNull() & (fold(F.col("label_id"), folds) != held_out))
-    totals = {r["label"]: r["count"] for r in taught.groupBy("label").count().collect()}
+    chosen, totals = labelled_sample(docs, labels, label, per_class, folds, held_out)
     if not totals:
         return Model(None, None, None, None, 0.5)
     prior = totals.get(1, 0) / sum(totals.values())
-    sample = None
-    for value, total in sorted(totals.items()):
-        some = sample_rows(taught.filter(F.col("label") == value), per_class, total, F.col("label_id"))
-        sample = some if sample is None else sample.unionByName(some)
-    texts = doc_text(docs)
-    # the sample is about 2 * per_class ids
-    chosen = texts.join(F.broadcast(sample), texts.doc_id == sample.label_id).select("doc_id", "text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             made = [terms(t).astype(np.float16).tobytes() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(made, pa.binary())], ["doc_id", "label", "terms"])
 
-    schema = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL("label int, terms binary").fields])
+    schema = T.StructType([chosen.schema["doc_id"], *T.StructType.fromDDL("label int, terms binary").fields])
     found = sorted(chosen.mapInArrow(run, schema).collect(), key=lambda r: (r["doc_id"], r["label"], bytes(r["terms"])))
     if not found:
         return Model(None, None, None, None, prior)

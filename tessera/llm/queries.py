@@ -14,6 +14,7 @@ from tessera.llm.planes import op3_query
 from tessera.llm.quality import op9_query
 from tessera.llm.secrets import op6_query
 from tessera.llm.simhash import op4_query
+from tessera.llm.toxicity import op5_query
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +23,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": op2_query,
         "op3_bit_planes": op3_query,
         "op4_simhash_near_dedup": op4_query,
+        "op5_toxicity": op5_query,
         "op6_secret_scan": op6_query,
         "op7_decontamination": op7_query,
         "op8_best_fit_packing": op8_query,
