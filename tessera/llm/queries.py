@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontamination import op7_query
 from tessera.llm.exact_dedup import OP1_SQL, op1_query
 from tessera.llm.langid import op2_query
 from tessera.llm.packing import op8_query
+from tessera.llm.pii import op10_query
 from tessera.llm.planes import op3_query
 from tessera.llm.quality import op9_query
 from tessera.llm.secrets import op6_query
@@ -28,8 +30,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_decontamination": op7_query,
         "op8_best_fit_packing": op8_query,
         "op9_quality": op9_query,
+        "op10_personal_data": op10_query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    found = {"op1_exact_dedup": OP1_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {k: v for k, v in found.items() if v is not None}
