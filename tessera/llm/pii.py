@@ -101,6 +101,7 @@ class Node:
     label: int  # of the base span that holds it, else 0
     shape: int
     context: int
+    wrapped: bool = False  # in parentheses, which belong to a span that goes on
 
 
 def _shape(token: str) -> int:
@@ -126,8 +127,6 @@ def nodes(text: str, base: list[Span]) -> list[Node]:
         core = token.strip(_EDGES)
         start = m.start() + token.find(core) if core else m.start()
         end = start + len(core)
-        if ")" in core and "(" not in core and token[:start - m.start()].endswith("("):
-            start -= 1
         while k < len(held) and held[k][2] <= m.start():
             k += 1
         label, j = 0, k
@@ -140,11 +139,12 @@ def nodes(text: str, base: list[Span]) -> list[Node]:
         key = "".join(c for c in core.lower() if c.isalnum()) if marked else core.lower()
         if label and len(key) >= 3:
             keys.add(key)
-        rows.append((start, end, position, key, label, marked and bool(core), before, core))
+        wrapped = text[start - 1:start] == "(" and text[end:end + 1] == ")"
+        rows.append((start, end, position, key, label, marked and bool(core), before, core, wrapped))
         before = token
-    for start, end, position, key, label, marked, prev, core in rows:
+    for start, end, position, key, label, marked, prev, core, wrapped in rows:
         if core and (marked or key in keys):
-            found.append(Node(start, end, position, key, label, _shape(core), zlib.crc32(prev.lower().encode("utf-8", "surrogatepass")) % CONTEXTS))
+            found.append(Node(start, end, position, key, label, _shape(core), zlib.crc32(prev.lower().encode("utf-8", "surrogatepass")) % CONTEXTS, wrapped))
     return found
 
 
@@ -258,7 +258,8 @@ def further_spans(some: list[Node], marginals: np.ndarray, base: list[Span]) ->
         if not best[i] or not sure[i] or n.label:
             continue
         if out and last == i - 1 and some[last].position == n.position - 1 and best[last] == best[i]:
-            out[-1] = (out[-1][0], out[-1][1], n.end)
+            opened = some[last].wrapped and out[-1][0] == some[last].start
+            out[-1] = (out[-1][0] - opened, out[-1][1], n.end)
         else:
             out.append((n.start, int(best[i]) - 1, n.end))
         last = i

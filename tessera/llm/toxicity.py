@@ -60,6 +60,7 @@ _ALIKE = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}](?=[^\W\d_])")
 #: A token of letters and look-alikes that starts or goes on with a letter after one or two look-alikes.
 _TOKEN = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}]{{0,2}}[^\W\d_]+(?:[{re.escape(''.join(LOOKALIKES))}]+[^\W\d_]+)*")
 _APART = re.compile(rf"(?<![^\W_])(?:[^\W\d_][{re.escape(SEPARATORS)}]{{1,3}}){{2,}}[^\W\d_](?![^\W_])")
+_DOMAIN_GOES_ON = re.compile(r"[\w-]*\.\w").match
 _RUN = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 _WORDS = re.compile(r"[^\W\d_]+").findall
 #: Decoded tokens that a worker remembers.
@@ -185,7 +186,8 @@ class CharModel:
             while start > end and (text[start - 1].isalpha() or text[start - 1] in LOOKALIKES):
                 start -= 1
             token = _TOKEN.fullmatch(text, start, _token_end(text, at))
-            if token and (start == 0 or not text[start - 1].isdigit()):
+            address = token and "@" in token[0] and _DOMAIN_GOES_ON(text, token.end())
+            if token and not address and (start == 0 or not text[start - 1].isdigit()):
                 parts += [text[end:start], self.restore(token[0])]
                 end = token.end()
         return "".join([*parts, text[end:]]) if parts else text
