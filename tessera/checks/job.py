@@ -19,9 +19,12 @@ from tessera.checks.run import run_checks
 
 def check_table(spark: SparkSession, df: DataFrame, name: str, *, history_path: str | None = None,
                 sql_path: str | None = None, only: list[str] | None = None, skip: list[str] | None = None,
-                run_id: str | None = None, materialize: bool = False) -> tuple[DataFrame, str]:
-    """Check ``df`` (registered as view ``name`` for the exported SQL).
+                run_id: str | None = None, materialize: bool = False, definition: str | None = None) -> tuple[DataFrame, str]:
+    """Check ``df`` (called ``name`` in the exported SQL).
 
+    ``definition`` is the SQL of ``df``; with it the exported file starts with the
+    view and runs in any later session.  Without it ``df`` is registered as a
+    view of this session.  A retry with the same ``run_id`` replaces its results.
     Returns ``(results, "Running n of m tests (k skipped)")``.
     """
     chosen, summary = select_checks(suggest_checks(df), only=only, skip=skip)
@@ -30,6 +33,8 @@ def check_table(spark: SparkSession, df: DataFrame, name: str, *, history_path:
     if history_path:
         append_results(results, history_path, run_id, name)
     if sql_path:
-        df.createOrReplaceTempView(name)
-        write_checks_sql(export_checks(spark, chosen, results, name, df.columns, df=df), sql_path)
+        if definition is None:
+            df.createOrReplaceTempView(name)
+        write_checks_sql(export_checks(spark, chosen, results, name, df), sql_path, name, definition,
+                         _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds"))
     return results, summary

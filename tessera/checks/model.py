@@ -8,10 +8,14 @@ uniqueness checks are grouped passes identified by ``kind``.
 
 from __future__ import annotations
 
+import datetime as _dt
+import decimal
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructField, StructType, IntegerType, StringType, LongType, BooleanType
 
+from tessera.functions.names import q
+
 # --- fixed values -----------------------------------------------------------
 # Check vocabulary.
 TEST_TYPES = ("not_null", "unique", "format", "range", "table_level")
@@ -48,11 +52,6 @@ RESULT_SCHEMA = StructType([
 ])
 
 
-def q(name: str) -> str:
-    """Quote an identifier for Spark SQL."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 @dataclass(frozen=True)
 class Check:
     name: str
@@ -123,21 +122,43 @@ def column_pair(x: str, y: str) -> Check:
                  condition=f"{q(x)} < {q(y)}", columns=(x, y))
 
 
+def sql_literal(v) -> str:
+    """A typed Spark SQL literal of a Python value."""
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v) if -2 ** 31 <= v < 2 ** 31 else f"{v}L" if -2 ** 63 <= v < 2 ** 63 else f"{v}BD"
+    if isinstance(v, float):
+        return f"double('{v!r}')"
+    if isinstance(v, decimal.Decimal):
+        return f"{v:f}BD"
+    if isinstance(v, _dt.datetime):
+        return f"TIMESTAMP '{v.isoformat(sep=' ')}'" if v.tzinfo else f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(v, _dt.date):
+        return f"DATE '{v.isoformat()}'"
+    raise TypeError(f"no SQL literal for {type(v).__name__}")
+
+
 def accepted_values(column: str, values: list) -> Check:
-    """Non-null values outside an accepted list."""
-    lits = ", ".join("'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values)
+    """Non-null values outside an accepted list (NULL never fails; an empty list accepts nothing else)."""
+    known = [v for v in values if v is not None]
+    lits = ", ".join(sql_literal(v) for v in known)
+    outside = f" AND {q(column)} NOT IN ({lits})" if known else ""
     return Check(f"{column}__accepted_values", column, "format",
                  f"'{column}' should be one of {len(values)} accepted values",
-                 condition=f"{q(column)} IS NOT NULL AND {q(column)} NOT IN ({lits})", columns=(column,))
+                 condition=f"{q(column)} IS NOT NULL{outside}", columns=(column,))
 
 
 def integral(column: str) -> Check:
     """E5: a count column should hold integers.
 
-    Non-null values whose bigint form is missing or differs from the value.
+    The remainder by one is taken in the column's own type, so decimals of any
+    size are exact; text is read as a decimal, and text that is none fails.
     """
     c = q(column)
     return Check(f"{column}__integral", column, "format", f"'{column}' is a count and should hold integers",
-                 condition=(f"{c} IS NOT NULL AND (try_cast({c} AS BIGINT) IS NULL "
-                            f"OR CAST(try_cast({c} AS BIGINT) AS DOUBLE) <> try_cast({c} AS DOUBLE))"),
+                 condition=(f"{c} IS NOT NULL AND CASE WHEN typeof({c}) = 'string' "
+                            f"THEN COALESCE(try_cast({c} AS DECIMAL(38,10)) % 1 <> 0, TRUE) ELSE {c} % 1 <> 0 END"),
                  columns=(column,))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +46,17 @@ def check_sql(check: m.Check, source: str, columns: list[str] | None = None, con
 
 
 def export_checks(spark, checks: list[m.Check], results: DataFrame | None, source: str,
-                  columns: list[str], df: DataFrame | None = None) -> DataFrame:
+                  df: DataFrame) -> DataFrame:
     """IO6: approved checks with reason, type, column, SQL and last-run status.
 
     ``sql`` runs with ``spark.sql`` against ``source``; the table can be
-    written anywhere (``df.write.saveAsTable``) and re-run later.  Pass the
-    checked ``df`` so range checks on interval columns compare with an
-    interval zero.
+    written anywhere (``df.write.saveAsTable``) and re-run later.  ``df`` is
+    what was checked: range checks compare with a zero of the column's type.
     """
     from tessera.checks.run import condition_for
 
     rows = [(i + 1, c.name, c.column or "(table-level)", c.test_type, c.reason,
-             check_sql(c, source, columns, condition_for(df, c) if df is not None and c.kind == m.ROW else None))
+             check_sql(c, source, df.columns, condition_for(df, c) if c.kind == m.ROW else None))
             for i, c in enumerate(checks)]
     defs = spark.createDataFrame(rows, "position int, name string, column string, test_type string, "
                                        "reason string, sql string")
@@ -80,9 +81,12 @@ def rerun_exported(spark, exported: DataFrame) -> DataFrame:
 
 
 def append_results(results: DataFrame, path: str, run_id: str, source: str) -> str:
-    """Append one run's results to a history table (parquet, partitioned by run)."""
+    """Store one run's results in a history table (parquet, partitioned by run and source).
+
+    A retry of the same run replaces what the run stored before.
+    """
     (results.withColumn("run_id", F.lit(run_id)).withColumn("source", F.lit(source))
-     .write.mode("append").partitionBy("run_id").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "source").parquet(path))
     return path
 
 
@@ -103,7 +107,32 @@ def checks_sql_text(exported: DataFrame) -> DataFrame:
     return exported.orderBy("position").select(header.alias("value"))
 
 
-def write_checks_sql(exported: DataFrame, path: str) -> str:
-    """Write the exported checks as one SQL text file (the table is tiny)."""
-    checks_sql_text(exported).coalesce(1).write.mode("overwrite").text(path)
+def source_header(source: str, definition: str | None, created: str) -> str:
+    """What makes the text run later: the view of the checked query, or where it must come from."""
+    made = f"CREATE OR REPLACE TEMPORARY VIEW {m.q(source)} AS\n{definition.strip().rstrip(';')};" if definition else \
+        f"-- needs a table or view {source}"
+    return f"-- Checks of {source}, written {created}\n{made}\n"
+
+
+def write_checks_sql(exported: DataFrame, path: str, source: str, definition: str | None = None, created: str = "") -> str:
+    """Write the exported checks as one SQL text file (the table is tiny).
+
+    ``definition`` is the query that was checked; the file then starts with it
+    as a view, so the statements run without anything of this session.
+    """
+    spark = exported.sparkSession
+    lines = [source_header(source, definition, created), *(r["value"] for r in checks_sql_text(exported).collect())]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
+
+
+def run_sql_text(spark, text: str) -> list[int]:
+    """Run a file written by :func:`write_checks_sql`; the counts of its checks in order."""
+    counts = []
+    for statement in re.split(r";[ \t]*(?:\n|$)", text):
+        body = "\n".join(x for x in statement.splitlines() if not x.startswith("--")).strip()
+        if body:
+            out = spark.sql(body)
+            if out.columns:
+                counts.append(int(out.first()[0]))
+    return counts

@@ -8,8 +8,8 @@
 * uniqueness checks are one ``groupBy(column).count()`` pass per column
   (partially aggregated, reading a single column), never several
   ``COUNT(DISTINCT)`` in one select (which would ``Expand`` every row);
-* the duplicate-row check can pre-filter on a 96-bit row hash so only rows
-  whose hash repeats are shuffled in full;
+* the duplicate-row check counts 96-bit row hashes first; full rows are
+  shuffled once, and only if some hash repeats;
 * grouped passes are independent jobs submitted concurrently.
 
 Error isolation: every check is analysed on its own before anything runs (an
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import (AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException,
+                            IllegalArgumentException, NumberFormatException, SparkRuntimeException)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DayTimeIntervalType, DoubleType, FloatType, MapType, NumericType,
@@ -92,28 +94,28 @@ def _normalized(c, dt):
     return c
 
 
-def count_duplicate_rows(df: DataFrame, strategy: str = "auto") -> int:
+def count_duplicate_rows(df: DataFrame, strategy: str = "hashed") -> int:
     """Number of distinct full-row values that occur more than once.
 
-    ``direct``: ``groupBy(all columns).count()``.  ``hashed``: count
-    ``(xxhash64, murmur3)`` of the row first and confirm exactly only the rows
-    whose hash repeats; the first shuffle then carries 12 bytes per row
-    instead of the whole row.  NULL equals NULL in both (grouping semantics).
+    ``direct``: one grouping by all columns.  ``hashed`` (default): count
+    ``(xxhash64, murmur3)`` of the row first, a shuffle of 12 bytes and a count
+    per row; without a repeated hash there is no duplicate and the work ends,
+    else the direct grouping gives the exact number.  Full rows are shuffled
+    once at most, partially aggregated.  NULL equals NULL in both (grouping
+    semantics).  Column names of the input are never used for computed columns.
     """
     fields = df.schema.fields
-    cols = [F.col(m.q(f.name)) for f in fields]
+    names = [f"c{i}" for i in range(len(fields))]
+    rows = df.toDF(*names)
     # Grouping treats -0.0 = 0.0 and every NaN as equal; a row hash only does
     # after normalising.  Nested types (maps cannot be hashed at all) group directly.
     hashable = all(not isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in fields)
-    if strategy == "auto":
-        strategy = "hashed" if len(cols) > 4 and hashable else "direct"
-    if strategy == "direct" or not hashable:
-        return df.groupBy(*cols).count().filter(F.col("count") > 1).count()
-    keyed = [_normalized(F.col(m.q(f.name)), f.dataType) for f in fields]
-    hashed = df.select(*cols, F.xxhash64(*keyed).alias("_h1"), F.hash(*keyed).alias("_h2"))
-    repeated = (hashed.groupBy("_h1", "_h2").count().filter(F.col("count") > 1).select("_h1", "_h2"))
-    candidates = hashed.join(repeated, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
-    return candidates.groupBy(*cols).count().filter(F.col("count") > 1).count()
+    if strategy == "hashed" and hashable:
+        keyed = [_normalized(F.col(n), f.dataType) for n, f in zip(names, fields, strict=True)]
+        hashes = rows.select(F.xxhash64(*keyed).alias("h1"), F.hash(*keyed).alias("h2"))
+        if hashes.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            return 0
+    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
 
 
 def condition_for(df: DataFrame, check: m.Check) -> str:
@@ -151,7 +153,7 @@ def _run_grouped(df: DataFrame, check: m.Check, duplicates: str) -> int:
     raise ValueError(check.kind)
 
 
-def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto",
+def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "hashed",
                max_parallel: int = 4, materialize: bool = False, persist: bool = False) -> DataFrame:
     """Run ``checks`` on ``df``; returns the results DataFrame (RESULT_SCHEMA).
 
@@ -167,10 +169,15 @@ def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "auto"
     kinds = {c.kind for c in checks}
     several_passes = bool(kinds - {m.ROW, m.EMPTY}) and len(checks) > 1
     if materialize and several_passes:
-        from tessera.sources.sinks import materialize as _write
+        from tessera.sources.sinks import drop_path, scratch_path
 
-        df = _write(df, "checked-input")
-    elif persist and several_passes:
+        path = scratch_path(df.sparkSession, "checked-input")
+        df.write.parquet(path)
+        try:
+            return _run_checks(df.sparkSession.read.parquet(path), checks, duplicates, max_parallel)
+        finally:
+            drop_path(df.sparkSession, path)
+    elif persist and several_passes and not (df.storageLevel.useMemory or df.storageLevel.useDisk):
         from pyspark import StorageLevel
 
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -217,8 +224,10 @@ def _run_checks(df: DataFrame, checks: list[m.Check], duplicates: str, max_paral
         if fused:
             try:
                 run_fused(fused)
-            except Exception:
-                # Isolate the failing check(s): re-run each one alone.
+            except (AnalysisException, ArithmeticException, NumberFormatException, IllegalArgumentException,
+                    DateTimeException, ArrayIndexOutOfBoundsException, SparkRuntimeException):
+                # A check the data or the analyser rejects: re-run each one alone.
+                # Faults of the cluster are not a check's result and are raised.
                 for item in fused:
                     try:
                         run_fused([item])

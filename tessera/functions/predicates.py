@@ -9,6 +9,7 @@ typed comparison reaches ``PushedFilters`` / ``PartitionFilters``.
 from __future__ import annotations
 
 import datetime as _dt
+import operator
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,27 +18,47 @@ from pyspark.sql import functions as F
 # Two upper-case letters: the valid-country-code rule (a string range 'A'..'Z'
 # would lose 'ZA').
 VALID_CODE_PATTERN = r"^[A-Z]{2}$"
-# Package names of throw-away projects: prefixes test-, temp-, demo- and the
-# suffix -test, as one rule (regex form, and the same rule as prefix/suffix lists).
-EXCLUDED_PROJECT_PATTERN = r"^(test|temp|demo)-|-test$"
+# Package names of throw-away projects: prefixes test-, temp-, demo- and the suffix -test.
 EXCLUDED_PROJECT_PREFIXES = ("test-", "temp-", "demo-")
 EXCLUDED_PROJECT_SUFFIXES = ("-test",)
 # ---------------------------------------------------------------------------
+# The same rule as one pattern.
+EXCLUDED_PROJECT_PATTERN = "|".join(["^" + p for p in EXCLUDED_PROJECT_PREFIXES] + [x + "$" for x in EXCLUDED_PROJECT_SUFFIXES])
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _moment(value) -> _dt.datetime:
+    """A date, datetime or ISO text as UTC wall-clock time."""
+    if isinstance(value, str):
+        value = _dt.datetime.fromisoformat(value)
+    elif not isinstance(value, _dt.datetime):
+        value = _dt.datetime(value.year, value.month, value.day)
+    return value.astimezone(_dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 def _ts_lit(value) -> Column:
-    """Literal timestamp without time zone (the test tables use timestamp_ntz)."""
+    """Literal timestamp without time zone."""
+    return value if isinstance(value, Column) else _ntz(_moment(value))
+
+
+def _compare(col: Column, value, op) -> Column:
+    """``op(col, bound)`` where the bound is UTC: an instant for a zoned column, else wall-clock time.
+
+    ``typeof`` is a constant of the plan; the branch that is left compares the
+    raw column with a literal, which the scan can use.
+    """
     if isinstance(value, Column):
-        return value
-    if isinstance(value, _dt.datetime):
-        return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
-    if isinstance(value, _dt.date):
-        return F.lit(_dt.datetime(value.year, value.month, value.day)).cast("timestamp_ntz")
-    return F.to_timestamp_ntz(F.lit(str(value)))
+        return op(col, value)
+    moment = _moment(value)
+    zoned = op(col.cast("timestamp"), F.lit(moment.replace(tzinfo=_dt.timezone.utc)))
+    return F.when(F.typeof(col) == "timestamp", zoned).otherwise(op(col, _ntz(moment)))
+
+
+def _ntz(moment: _dt.datetime) -> Column:
+    return F.to_timestamp_ntz(F.lit(moment.isoformat(sep=" ")))
 
 
 def is_true(c) -> Column:
@@ -57,13 +78,13 @@ def in_list(c, values, negate: bool = False) -> Column:
 
 
 def time_range(c, start=None, end=None) -> Column:
-    """``start <= c < end``; either bound may be omitted."""
+    """``start <= c < end`` in UTC; either bound may be omitted."""
     col = _col(c)
     preds = []
     if start is not None:
-        preds.append(col >= _ts_lit(start))
+        preds.append(_compare(col, start, operator.ge))
     if end is not None:
-        preds.append(col < _ts_lit(end))
+        preds.append(_compare(col, end, operator.lt))
     if not preds:
         return F.lit(True)
     out = preds[0]
@@ -75,16 +96,13 @@ def time_range(c, start=None, end=None) -> Column:
 def trailing_days(c, days: int, as_of=None, exclude_today: bool = False) -> Column:
     """rows of the last ``days`` x 24h before ``as_of``.
 
-    ``as_of`` defaults to ``current_timestamp()``; pass a literal for
-    reproducible reports.  ``exclude_today`` adds ``c < date(as_of)`` so a
-    partial current day is left out.
+    ``as_of`` (UTC) defaults to now; pass a literal for reproducible reports.
+    ``exclude_today`` adds ``c < date(as_of)`` so a partial current day is left
+    out.
     """
-    col = _col(c)
-    anchor = _ts_lit(as_of) if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
-    pred = col >= anchor - F.expr(f"INTERVAL {int(days)} DAYS")
-    if exclude_today:
-        pred = pred & (col < F.to_date(anchor).cast("timestamp_ntz"))
-    return pred
+    anchor = _moment(as_of) if as_of is not None else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    end = _dt.datetime(anchor.year, anchor.month, anchor.day) if exclude_today else None
+    return time_range(c, anchor - _dt.timedelta(days=int(days)), end)
 
 
 def month_range(c, month: str, partition_col: str | None = None) -> Column:

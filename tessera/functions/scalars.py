@@ -23,9 +23,18 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_DAY_MICROS = 86_400_000_000
+
+
 def to_day(c) -> Column:
-    """Calendar day of a timestamp."""
-    return F.to_date(_col(c))
+    """Calendar day of a timestamp, in UTC whatever the session's time zone.
+
+    ``typeof`` is a constant of the plan, so only the branch of the column's own
+    type is left after optimisation.
+    """
+    col = _col(c)
+    utc_day = F.date_from_unix_date(F.floor(F.unix_micros(col.cast("timestamp")) / F.lit(_DAY_MICROS).cast("decimal(20,0)")).cast("int"))
+    return F.when(F.typeof(col) == "timestamp", utc_day).otherwise(F.to_date(col))
 
 
 def day_diff(end, start) -> Column:
@@ -68,8 +77,8 @@ def installer_type(c) -> Column:
 
 
 def is_weekend(ts) -> Column:
-    """Saturday or Sunday."""
-    return F.dayofweek(_col(ts)).isin(list(WEEKEND_DAYS))
+    """Saturday or Sunday, in UTC."""
+    return F.dayofweek(to_day(ts)).isin(list(WEEKEND_DAYS))
 
 
 def pct_change(cur, prev, digits: int = 2) -> Column:

@@ -2,9 +2,7 @@
 
 Join strategy is left to Catalyst + AQE: with ``spark.sql.adaptive.enabled``
 the runtime size of the aggregated right side decides between a broadcast
-hash join and a sort-merge join, so nothing is broadcast on a guess.  An
-explicit broadcast is only requested through ``broadcast_if_small``, which
-measures the side first.
+hash join and a sort-merge join, so nothing is broadcast on a guess.
 """
 
 from __future__ import annotations
@@ -12,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.names import q
+
 NULLABLE_SIDE_KEY = "nullable_side"
 
 
@@ -26,11 +26,11 @@ def tag_nullable_side(df: DataFrame, keep: list[str] | None = None) -> DataFrame
     cols = []
     for f in df.schema.fields:
         if f.name in keep:
-            cols.append(F.col(f.name))
+            cols.append(F.col(q(f.name)))
         else:
             md = dict(f.metadata or {})
             md[NULLABLE_SIDE_KEY] = True
-            cols.append(F.col(f"`{f.name}`").alias(f.name, metadata=md))
+            cols.append(F.col(q(f.name)).alias(f.name, metadata=md))
     return df.select(*cols)
 
 
@@ -59,13 +59,3 @@ def left_join_with_default(left: DataFrame, right: DataFrame, on: str | list[str
 def is_nullable_side(df: DataFrame, column: str) -> bool:
     field = df.schema[column]
     return bool((field.metadata or {}).get(NULLABLE_SIDE_KEY, False))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The count runs a job, so use this only for sides that are reused; for
-    one-off joins rely on AQE's runtime statistics instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

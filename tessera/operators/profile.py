@@ -9,12 +9,13 @@ with one partially aggregated ``groupBy(candidate).count()`` pass each.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from tessera.checks.model import q
+from tessera.functions.names import q
 
 
 def _orderable(dt) -> bool:
@@ -51,8 +52,9 @@ def grain_candidates(df: DataFrame, candidates: list[list[str]], max_parallel: i
             [], "candidate string, distinct_keys bigint, max_rows_per_key bigint, is_unique boolean")
 
     def one(cols: list[str]):
-        g = df.groupBy(*[F.col(q(c)) for c in cols]).count()
-        r = g.agg(F.count(F.lit(1)).alias("k"), F.max("count").alias("mx")).first()
+        keys = df.select(*[F.col(q(c)).alias(f"k{i}") for i, c in enumerate(cols)])
+        g = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("n"))
+        r = g.agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("mx")).first()
         keys, mx = int(r["k"]), (int(r["mx"]) if r["mx"] is not None else 0)
         return (",".join(cols), keys, mx, mx <= 1)
 
@@ -62,47 +64,69 @@ def grain_candidates(df: DataFrame, candidates: list[list[str]], max_parallel: i
         rows, "candidate string, distinct_keys bigint, max_rows_per_key bigint, is_unique boolean")
 
 
-def sample_values(df: DataFrame, k: int = 3, scan_rows: int = 1000) -> dict[str, list[str]]:
-    """Up to ``k`` distinct non-null sample values per column, taken from the
-    first ``scan_rows`` rows (``limit`` bounds what reaches the driver)."""
-    rows = df.limit(scan_rows).collect()
-    out: dict[str, list[str]] = {}
-    for f in df.schema.fields:
-        seen: list[str] = []
-        for r in rows:
-            v = r[f.name]
-            if v is not None and str(v) not in seen:
-                seen.append(str(v))
-                if len(seen) == k:
-                    break
-        out[f.name] = seen
+#: Distinct values expected below the first hash threshold of a column's sample.
+_EXPECTED = 32
+
+
+def _digest(text):
+    """The first 60 bits of a value's MD5."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def sample_values(df: DataFrame, k: int = 3, rsd: float = 0.05) -> dict[str, list[str]]:
+    """Up to ``k`` distinct non-null values of each column, as text: those with the least MD5 over all rows.
+
+    One aggregate finds the distinct estimates, a second one collects, for all
+    columns at once, the distinct values whose digest is below a threshold that
+    about ``_EXPECTED`` values pass; a column that gets fewer than ``k`` is read
+    again with a higher threshold.  Every row counts, and a few values per
+    column reach the driver.
+    """
+    fields = [f for f in df.schema.fields if _orderable(f.dataType)]
+    text = {f.name: F.col(q(f.name)).cast("string") for f in fields}
+    if not text:
+        return {f.name: [] for f in df.schema.fields}
+    row = df.agg(*[F.approx_count_distinct(c, rsd).alias(f"d{i}") for i, c in enumerate(text.values())]).first()
+    full = 1 << 60
+    limit = {name: full if row[i] <= _EXPECTED else full * (_EXPECTED + k) // row[i] for i, name in enumerate(text)}
+    out: dict[str, list[str]] = {f.name: [] for f in df.schema.fields}
+    open_ = list(text)
+    while open_:
+        found = df.agg(*[F.slice(F.array_sort(F.collect_set(F.when(_digest(text[n]) < limit[n], F.struct(_digest(text[n]).alias("h"), text[n].alias("v"))))), 1, k)
+                         .alias(f"s{i}") for i, n in enumerate(open_)]).first()
+        for i, n in enumerate(open_):
+            out[n] = [x["v"] for x in found[i]]
+        open_ = [n for n in open_ if len(out[n]) < k and limit[n] < full]
+        limit.update({n: min(full, limit[n] * 16) for n in open_})
     return out
 
 
-def profile_with_samples(df: DataFrame, k: int = 3, scan_rows: int = 1000, rsd: float = 0.05) -> DataFrame:
+def profile_with_samples(df: DataFrame, k: int = 3, rsd: float = 0.05) -> DataFrame:
     """``profile_table`` plus a ``sample_values`` column (comma separated)."""
     prof = profile_table(df, rsd)
-    samples = sample_values(df, k, scan_rows)
+    samples = sample_values(df, k, rsd)
     spark = df.sparkSession
     s = spark.createDataFrame([(c, ", ".join(v)) for c, v in samples.items()],
                               "column_name string, sample_values string")
     return prof.join(s, "column_name", "left").orderBy("position")
 
 
-def guess_grain(df: DataFrame, min_ratio: float = 0.9, max_pairs_from: int = 4) -> DataFrame:
-    """Guess the grain: propose keys from the distinct estimates, verify exactly.
+def guess_grain(df: DataFrame, max_width: int = 3, rsd: float = 0.02) -> DataFrame:
+    """All minimal keys of up to ``max_width`` columns, one row each (column ``candidate``, as ``grain_candidates``).
 
-    Single columns whose estimate reaches ``min_ratio`` of the row count are
-    proposed, then pairs of the ``max_pairs_from`` most distinct columns; every
-    proposal is verified with an exact grouped pass (``grain_candidates``).
+    The search is complete up to that width: for each width one aggregate
+    estimates the distinct combinations of every candidate without a smaller
+    key in it; those whose estimate is within four standard errors of the row
+    count are verified by an exact grouped pass.
     """
-    prof = profile_table(df).collect()
-    if not prof or prof[0]["row_count"] == 0:
-        return grain_candidates(df, [])
-    n = prof[0]["row_count"]
-    ranked = sorted((r for r in prof if r["approx_distinct"] is not None),
-                    key=lambda r: -r["approx_distinct"])
-    singles = [[r["column_name"]] for r in ranked if r["approx_distinct"] >= min_ratio * n]
-    top = [r["column_name"] for r in ranked[:max_pairs_from]]
-    pairs = [[a, b] for i, a in enumerate(top) for b in top[i + 1:]]
-    return grain_candidates(df, singles + pairs)
+    names = [f.name for f in df.schema.fields if _orderable(f.dataType)]
+    n = df.count()
+    keys: list[tuple[str, ...]] = []
+    for width in range(1, max_width + 1):
+        open_ = [c for c in combinations(names, width) if not any(set(k) <= set(c) for k in keys)]
+        if not open_ or not n:
+            break
+        est = df.agg(*[F.approx_count_distinct(F.struct(*[F.col(q(x)) for x in c]), rsd).alias(f"d{i}") for i, c in enumerate(open_)]).first()
+        likely = [list(c) for i, c in enumerate(open_) if est[i] >= (1 - 4 * rsd) * n]
+        keys += [tuple(c) for c, r in zip(likely, grain_candidates(df, likely).collect(), strict=True) if r["is_unique"]]
+    return grain_candidates(df, [list(k) for k in keys])

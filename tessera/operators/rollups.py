@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.names import q
 from tessera.functions.scalars import is_weekend
 
 
@@ -52,13 +53,13 @@ def prior_period_counts(df: DataFrame, key: str, ts: str, before, name: str = "h
 def excess_copies(df: DataFrame, column: str) -> DataFrame:
     """``COUNT(c) - COUNT(DISTINCT c)`` as one grouped pass.
 
-    ``groupBy(c).count()`` is partially aggregated before the shuffle, unlike
+    The grouping is partially aggregated before the shuffle, unlike
     several ``COUNT(DISTINCT)`` in one select, which multiplies the rows
     through an ``Expand``.
     """
-    c = F.col(f"`{column}`")
-    per_value = df.select(c.alias("_k")).filter(F.col("_k").isNotNull()).groupBy("_k").count()
-    return per_value.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("failing_rows"))
+    c = F.col(q(column))
+    per_value = df.select(c.alias("_k")).filter(F.col("_k").isNotNull()).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    return per_value.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("failing_rows"))
 
 
 def approx_distinct_with_check(df: DataFrame, key: str, column: str, rsd: float = 0.05,

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.names import unused
 from tessera.functions.predicates import trailing_days
-from tessera.functions.scalars import change, pct_change
+from tessera.functions.scalars import change, pct_change, to_day
 
 
 def _order(c: str | Column, descending: bool) -> Column:
@@ -31,7 +32,7 @@ def topn_per_group(df: DataFrame, group_cols: list[str | Column], order_col: str
 
 def daily_rollup(df: DataFrame, ts: str, metrics: dict[str, Column], day_name: str = "calendar_day") -> DataFrame:
     """Aggregate per calendar day of a timestamp."""
-    return (df.groupBy(F.to_date(F.col(ts)).alias(day_name))
+    return (df.groupBy(to_day(ts).alias(day_name))
             .agg(*[expr.alias(name) for name, expr in metrics.items()]))
 
 
@@ -68,18 +69,20 @@ def trailing_period_over_period(df: DataFrame, ts: str, metrics: dict[str, Colum
 
 
 def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, descending: bool = True,
-                        name: str = "percent_rank", method: str = "histogram") -> DataFrame:
+                        name: str = "percent_rank", method: str = "split",
+                        rows_per_split: int = 1_000_000) -> DataFrame:
     """``PERCENT_RANK() OVER (PARTITION BY p ORDER BY v [DESC])``.
 
     ``method="window"`` is the plain window: one task sorts a whole partition
-    value.  ``method="histogram"`` (default) is skew-safe: it counts rows per
+    value.  ``method="histogram"`` is skew-safe for an order column with few
+    distinct values (counts): it counts rows per
     ``(p, v)`` with a partially aggregated ``groupBy``, runs the window over
     the distinct values only (rank = 1 + rows strictly ahead), and joins the
     rank back on ``(p, v)``.  A hot partition value then costs one row per
     distinct order value instead of one row per input row.  ``method="split"``
-    also range-splits each partition's distinct values by approximate
-    quantiles (numeric / date / timestamp order columns), for a hot partition
-    that also has very many distinct values.  ``df`` is read twice (histogram
+    (default) also range-splits each partition's distinct values by approximate
+    quantiles (numeric / date / timestamp order columns) into as many parts as
+    ``rows_per_split`` asks for, whatever their number.  ``df`` is read twice (histogram
     and join back): materialize an expensive input first.
     """
     if method == "window":
@@ -88,7 +91,7 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     hist = df.groupBy(F.col(partition_col).alias("_p"), F.col(order_col).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
     if method == "split":
-        return _join_ranks(df, partition_col, order_col, _split_ranks(hist, descending, name), name)
+        return _join_ranks(df, partition_col, order_col, _split_ranks(hist, descending, name, _n_splits(hist, rows_per_split)), name)
     ahead = (Window.partitionBy("_p").orderBy(_order("_v", descending))
              .rowsBetween(Window.unboundedPreceding, -1))
     total = Window.partitionBy("_p")
@@ -103,11 +106,19 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
 
 
 def _join_ranks(df: DataFrame, partition_col: str, order_col: str, ranks: DataFrame, name: str) -> DataFrame:
-    cond = (df[partition_col].eqNullSafe(ranks["_p"])) & (df[order_col].eqNullSafe(ranks["_v"]))
-    return df.join(ranks.select("_p", "_v", name), cond, "inner").drop("_p", "_v")
+    p, v = unused("_p", df.columns), unused("_v", df.columns)
+    ranks = ranks.select(F.col("_p").alias(p), F.col("_v").alias(v), name)
+    cond = df[partition_col].eqNullSafe(ranks[p]) & df[order_col].eqNullSafe(ranks[v])
+    return df.join(ranks, cond, "inner").drop(p, v)
 
 
-def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int = 64,
+def _n_splits(hist: DataFrame, rows_per_split: int) -> int:
+    """Parts of the largest partition value, by its number of distinct order values."""
+    largest = hist.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(2, -(-largest // rows_per_split))
+
+
+def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int,
                  accuracy: int = 10000) -> DataFrame:
     """Exact percent rank from a ``(_p, _v, _c)`` histogram, range-split by value.
 

@@ -7,6 +7,8 @@ matching DuckDB SQL lives in ``tessera.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,7 +171,7 @@ def q_prior_period_growth(spark, sf):
     window = (d.filter(P.time_range("timestamp", DL_START, DL_END))
               .groupBy(F.col("file.project").alias("package_name"))
               .agg(F.count(F.lit(1)).alias("total_downloads")))
-    hist = RP.download_history(d, "1995-03-01")
+    hist = RP.download_history(d, DL_START)
     j = left_join_with_default(window, hist, "package_name", {"historical_downloads": 0})
     return j.select("package_name", "total_downloads", "historical_downloads",
                     S.pct_change("total_downloads", "_raw_historical_downloads").alias("growth_pct"))
@@ -212,12 +214,12 @@ def _user_totals(spark, sf):
 
 def q_percent_rank_group(spark, sf):
     totals = materialize(_user_totals(spark, sf), "user-totals")
-    return W.percent_rank_within(totals, "event_type", "events", name="pct_rank")
+    return W.percent_rank_within(totals, "event_type", "events", name="pct_rank", method="histogram")
 
 
 def q_percent_rank_group_split(spark, sf):
     totals = materialize(_user_totals(spark, sf), "user-totals")
-    return W.percent_rank_within(totals, "event_type", "events", name="pct_rank", method="split")
+    return W.percent_rank_within(totals, "event_type", "events", name="pct_rank", method="split", rows_per_split=200)
 
 
 def q_percent_rank_group_window(spark, sf):
@@ -243,7 +245,7 @@ def q_download_growth_report_daily_history(spark, sf):
     daily job would only rewrite its month), then summed for the days before
     the window."""
     d = D.downloads_from_lineitem(spark, sf)
-    daily = RP.package_daily_counts(d).repartition("month")
+    daily = RP.package_daily_counts(d).hint("rebalance", "month")
     path = write_table(daily, scratch_path(spark, "package-daily"), partition_by=["month"])
     history = RP.history_from_daily(spark.read.parquet(path), DL_START)
     return RP.download_growth_report(d, DL_START, DL_END, min_downloads=DL_MIN, distinct="exact", limit=1000,
@@ -268,6 +270,13 @@ def q_check_no_duplicate_rows(spark, sf):
     return _results(run_checks(_t(spark, sf, "lineitem"), [M.no_duplicate_rows()], duplicates="hashed"))
 
 
+def q_check_duplicate_rows_found(spark, sf):
+    """Duplicates that exist, under column names that the check might use itself."""
+    rows = _t(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") % 500).alias("count"), F.col("l_linenumber").alias("_h1"), F.col("l_returnflag").alias("a.b"))
+    return _results(run_checks(rows, [M.no_duplicate_rows()]))
+
+
 def q_check_no_duplicate_keys(spark, sf):
     keys = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     return _results(run_checks(keys, [M.no_duplicate_rows()], duplicates="direct"))
@@ -333,7 +342,7 @@ def q_check_summary(spark, sf):
 def q_export_checks(spark, sf):
     uos = q_user_order_summary(spark, sf)
     checks = suggest_checks(uos)
-    return export_checks(spark, checks, run_checks(uos, checks), "user_order_summary", uos.columns)
+    return export_checks(spark, checks, run_checks(uos, checks, persist=True), "user_order_summary", uos)
 
 
 def q_check_column_pair(spark, sf):
@@ -345,6 +354,18 @@ def q_check_accepted_values(spark, sf):
                                [M.accepted_values("event_type", ["click", "view", "purchase", "signup"])]))
 
 
+def q_check_accepted_values_typed(spark, sf):
+    """Dates, decimals, an empty list, NULL in the list, quotes and backslashes."""
+    rows = _t(spark, sf, "orders").select(
+        F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderstatus",
+        F.concat_ws("\\", "o_orderstatus", F.lit("it's")).alias("note"))
+    days = [dt.date(1996, 1, 2), dt.date(1997, 7, 7)]
+    return _results(run_checks(rows, [
+        M.accepted_values("day", days), M.accepted_values("price", [decimal.Decimal("100.50"), decimal.Decimal("99999999999.25")]),
+        M.accepted_values("o_orderstatus", []), M.accepted_values("o_orderstatus", ["F", None]),
+        M.accepted_values("note", ["F\\it's", "O\\it's"])]))
+
+
 def q_check_integral(spark, sf):
     return _results(run_checks(_t(spark, sf, "lineitem"), [M.integral("l_quantity"), M.integral("l_tax")]))
 
@@ -360,6 +381,16 @@ def q_grain_candidates(spark, sf):
         ["l_orderkey"], ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]])
 
 
+def q_guess_grain(spark, sf):
+    return PR.guess_grain(_t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")).select(
+        "candidate", "distinct_keys")
+
+
+def q_profile_samples(spark, sf):
+    return PR.profile_with_samples(_t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")).select(
+        "column_name", "sample_values")
+
+
 def _orders_versions(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     target = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
@@ -375,6 +406,30 @@ def q_incremental_merge(spark, sf):
     return INC.incremental_merge(target, source, ["o_orderkey"], "o_orderdate")
 
 
+def q_incremental_merge_partitions(spark, sf):
+    """Rows of two of 16 key buckets: ties, late rows of new keys, outdated versions; the delta lacks a column."""
+    o = _t(spark, sf, "orders").withColumn("bucket", (F.col("o_orderkey") % 16).cast("int"))
+    start = F.lit("1998-01-01").cast("timestamp_ntz")
+    old = F.col("o_orderdate") < start
+    path = write_table(o.filter(old).select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "bucket"),
+                       scratch_path(spark, "merge-target"), partition_by=["bucket"])
+    tie = F.col("o_orderstatus") == "O"
+    delta = o.filter(F.col("bucket").isin(3, 7)).select(
+        "o_orderkey",
+        F.when(~old, F.lit("N")).when(tie, F.lit("T")).otherwise(F.lit("X")).alias("o_orderstatus"),
+        F.when(~old, F.col("o_orderdate") - F.expr("INTERVAL 2000 DAYS")).when(tie, F.col("o_orderdate"))
+         .otherwise(F.col("o_orderdate") - F.expr("INTERVAL 10 DAYS")).alias("o_orderdate"), "bucket")
+    INC.merge_into_partitions(path, delta, ["o_orderkey"], "o_orderdate", "bucket", fill_missing=True)
+    return spark.read.parquet(path)
+
+
+def q_download_growth_report_nested(spark, sf):
+    """C4 over a log stored with nested columns, of which the report reads a part."""
+    path = write_table(D.downloads_from_lineitem(spark, sf), scratch_path(spark, "downloads"))
+    return RP.download_growth_report(spark.read.parquet(path), DL_START, DL_END, min_downloads=DL_MIN,
+                                     distinct="exact", limit=1000)
+
+
 def catalog() -> dict[str, Query]:
     return {
         "scan_table": q_scan_table,
@@ -412,6 +467,7 @@ def catalog() -> dict[str, Query]:
         "user_order_summary": q_user_order_summary,
         "check_row_count_positive": q_check_row_count_positive,
         "check_no_duplicate_rows": q_check_no_duplicate_rows,
+        "check_duplicate_rows_found": q_check_duplicate_rows_found,
         "check_no_duplicate_keys": q_check_no_duplicate_keys,
         "check_not_null": q_check_not_null,
         "check_unique": q_check_unique,
@@ -428,8 +484,13 @@ def catalog() -> dict[str, Query]:
         "export_checks": q_export_checks,
         "check_column_pair": q_check_column_pair,
         "check_accepted_values": q_check_accepted_values,
+        "check_accepted_values_typed": q_check_accepted_values_typed,
         "check_integral": q_check_integral,
         "profile_table": q_profile_table,
         "grain_candidates": q_grain_candidates,
+        "guess_grain": q_guess_grain,
+        "profile_samples": q_profile_samples,
         "incremental_merge": q_incremental_merge,
+        "incremental_merge_partitions": q_incremental_merge_partitions,
+        "download_growth_report_nested": q_download_growth_report_nested,
     }

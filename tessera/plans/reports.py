@@ -102,7 +102,7 @@ def package_daily_counts(downloads: DataFrame, start=None, end=None) -> DataFram
     """Downloads per (package, day): the incremental form of the history.
 
     Carries a ``month`` column for the table layout: written with
-    ``write_table(df.repartition("month"), path, partition_by=["month"])``
+    ``write_table(df.hint("rebalance", "month"), path, partition_by=["month"])``
     (dynamic overwrite), a daily job rewrites only the current month and each
     month is one file set, while the report's history becomes a scan of this
     small table instead of years of raw log.

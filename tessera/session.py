@@ -8,6 +8,7 @@ bench and local runs only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) that "
                                "every executor can read; tessera writes lineage cuts there")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")

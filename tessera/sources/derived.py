@@ -13,31 +13,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import read_parquet
-
 # --- fixed values (test mapping) --------------------------------------------
 # Distro name by line number 1..7 of a lineitem row (5 is outside the report's
 # accepted list).
 DISTRO_BY_LINE = ["Ubuntu", "Debian", "CentOS", "Fedora", "Arch", "Ubuntu", "Debian"]
-# Longest withdrawals array of the derived blocks.
-MAX_WITHDRAWALS = 6
+# A line has its number less one withdrawals, counted modulo this.
+WITHDRAWALS = 7
 # Installer name by part type; STANDARD has no installer (NULL).
 INSTALLER_BY_TYPE = {"ECONOMY": "pip", "PROMO": "nexus", "MEDIUM": "artifactory",
                      "SMALL": "conda", "LARGE": "poetry"}
 # ---------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.  ``spread`` adds the scan-parallelism floor for views
-    whose per-row work is heavy (see ``spread_small_scan``)."""
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=spread)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def blocks_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``blocks`` with an array-of-struct ``withdrawals`` column.
 
     number = order key, timestamp = ship date; each line carries
-    ``min(linenumber - 1, 6)`` withdrawals (line 1 has an empty array) and
+    ``(linenumber - 1) modulo 7`` withdrawals (line 1 has an empty array) and
     lines with return flag R and status O carry a NULL array.  Amounts are
     integer strings (``partkey * (index + 1)``), as in the real table, so the
     report must cast them.  Built from fixed-size ``array`` + ``slice`` rather
@@ -46,8 +43,8 @@ def blocks_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     full = F.array(*[F.struct(F.lit(i).alias("index"),
                               (F.col("l_partkey") * (i + 1)).cast("string").alias("amount"))
-                     for i in range(MAX_WITHDRAWALS)])
-    n = F.least(F.col("l_linenumber") - 1, F.lit(MAX_WITHDRAWALS))
+                     for i in range(WITHDRAWALS - 1)])
+    n = (F.col("l_linenumber") - 1) % WITHDRAWALS
     withdrawals = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"),
                          F.lit(None)).otherwise(F.slice(full, 1, n))
     return li.select(F.col("l_orderkey").alias("number"),
@@ -66,12 +63,14 @@ def blocks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def downloads_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file_downloads`` with two-level nested structs, from lineitem x part.
 
-    project = part name with '-' for blanks, version = line number (+ 'rc1'
+    project = part name with '-' for blanks, with the prefix of a throw-away
+    project for every 13th part; lower-case country code for every 17th part;
+    version = line number (+ 'rc1'
     for returned lines), country = return flag + line status, python = '3.x.1'
     (a non-version text for flag N), installer by part type, distro by line
     number, system Linux unless the discount is above 8%.
     """
-    li = table(spark, sf_dir, "lineitem", spread=True).select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
@@ -82,8 +81,10 @@ def downloads_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
     return j.select(
         F.col("l_shipdate").alias("timestamp"),
-        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("country_code"),
-        F.struct(F.translate(F.col("p_name"), " ", "-").alias("project"),
+        F.when(F.col("p_partkey") % 17 == 0, F.lower(F.concat("l_returnflag", "l_linestatus")))
+         .otherwise(F.concat("l_returnflag", "l_linestatus")).alias("country_code"),
+        F.struct(F.when(F.col("p_partkey") % 13 == 0, F.concat(F.lit("test-"), F.translate(F.col("p_name"), " ", "-")))
+                  .otherwise(F.translate(F.col("p_name"), " ", "-")).alias("project"),
                  F.concat(line.cast("string"), F.lit(".0"),
                           F.when(F.col("l_returnflag") == "R", F.lit("rc1")).otherwise(F.lit("")))
                  .alias("version")).alias("file"),
@@ -91,7 +92,7 @@ def downloads_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("l_returnflag") == "N", F.lit("pypy"))
              .otherwise(F.concat(F.lit("3."), (line + 5).cast("string"), F.lit(".1"))).alias("python"),
             F.struct(installer.alias("name")).alias("installer"),
-            F.struct(F.element_at(distro_names, line).alias("name"),
+            F.struct(F.element_at(distro_names, (line - 1) % len(DISTRO_BY_LINE) + 1).alias("name"),
                      F.when(line <= 2, F.lit("22.04")).when(line == 3, F.lit(None).cast("string"))
                       .otherwise(F.lit("9")).alias("version")).alias("distro"),
             F.struct(F.when(F.col("l_discount") > 0.08, F.lit("Darwin")).otherwise(F.lit("Linux")).alias("name"),
@@ -118,11 +119,9 @@ def users_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders``: finished orders only (status F); amounts as decimal(18,2)
-    so sums do not depend on addition order."""
+    """``orders``: amounts as decimal(18,2) so sums do not depend on addition order."""
     o = table(spark, sf_dir, "orders")
-    return (o.filter(F.col("o_orderstatus") == "F")
-            .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+    return (o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
                     F.col("o_totalprice").cast("decimal(18,2)").alias("amount"), F.to_date("o_orderdate").alias("created_at")))
 
 

@@ -36,6 +36,14 @@ def write_table(df: DataFrame, path_or_table: str, mode: str = "overwrite",
     return path_or_table
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote below the checkpoint directory."""
+    if not path.startswith(checkpoint_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"not below the checkpoint directory: {path}")
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - public py4j gateway
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)  # noqa: SLF001
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 

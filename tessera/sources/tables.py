@@ -3,31 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 _DATA_SUFFIXES = (".parquet", ".csv", ".json", ".orc")
 
 
-def spread_small_scan(df: DataFrame, floor: int | None = None) -> DataFrame:
-    """Give a scan at least ``floor`` partitions (default: the cluster's parallelism).
-
-    A parquet file with one row group cannot be split, so its scan is a single
-    task and every row-wise expression before the first shuffle runs on one
-    core.  Only then is the scan spread round-robin; a large input already has
-    at least as many splits as cores and is returned unchanged (no shuffle).
-    """
-    floor = floor or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < floor:
-        return df.repartition(floor)
-    return df
-
-
-def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread_small_scan(df) if spread else df
-
-
 def scan_table(spark: SparkSession, name_or_path: str, columns: list[str] | None = None) -> DataFrame:
     """IO1: a catalog table by name, or a parquet path.
 
@@ -41,11 +23,6 @@ def scan_table(spark: SparkSession, name_or_path: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
-def read_tables(spark: SparkSession, data_dir: str, names: list[str]) -> dict[str, DataFrame]:
-    """Read ``{data_dir}/{name}.parquet`` for each name."""
-    return {n: spark.read.parquet(f"{data_dir.rstrip('/')}/{n}.parquet") for n in names}
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm  # noqa: SLF001 - public py4j gateway, used only for listing
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -57,7 +34,7 @@ def _list_dir(spark: SparkSession, data_dir: str) -> list[tuple[str, bool]]:
     that any scheme (hdfs://, s3a://, file:) works."""
     jpath, fs = _fs(spark, data_dir)
     if not fs.exists(jpath) or not fs.getFileStatus(jpath).isDirectory():
-        raise FileNotFoundError(f"Sample data directory not found: {data_dir!r}")
+        raise FileNotFoundError(f"no such folder to register views from: {data_dir}")
     return sorted((st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(jpath))
 
 
@@ -79,9 +56,10 @@ def register_views(spark: SparkSession, data_dir: str, csv_schemas: dict | None
     extension in their name) are read natively; CSV
     files are read with a header, using an explicit schema from
     ``csv_schemas[stem]`` when given, else inferred.  A missing directory raises
-    ``FileNotFoundError``.  Returns ``{view_name: path}``.
+    ``FileNotFoundError``, two files of one stem or a stem that is no
+    identifier ``ValueError``.  Returns ``{view_name: path}``.
     """
-    registered: dict[str, str] = {}
+    views: list[tuple[str, str, DataFrame]] = []
     for fname, is_dir in _list_dir(spark, data_dir):
         stem, ext = os.path.splitext(fname)
         path = f"{data_dir.rstrip('/')}/{fname}"
@@ -99,6 +77,15 @@ def register_views(spark: SparkSession, data_dir: str, csv_schemas: dict | None
             df = scan_csv(spark, path, schema=(csv_schemas or {}).get(stem))
         else:
             df = spark.read.format(ext[1:]).load(path)
+        views.append((stem, path, df))
+    stems = [stem.lower() for stem, _, _ in views]
+    doubled = sorted({stem for stem in stems if stems.count(stem) > 1})
+    bad = sorted(stem for stem, _, _ in views if not re.fullmatch(r"\w+", stem))
+    if doubled or bad:
+        # checked before the first view is made, so that a rejected folder changes nothing
+        raise ValueError(f"views can't be named after these files: used twice {doubled}, no identifiers {bad}")
+    registered: dict[str, str] = {}
+    for stem, path, df in views:
         df.createOrReplaceTempView(stem)
         registered[stem] = path
     return registered

@@ -21,14 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.checks import model as M
-from tessera.checks.run import run_checks
-from tessera.sources.sinks import scratch_path
+from tessera.checks.run import condition_for, run_checks, validate_checks
 
 
 def write_batch_results(batch: DataFrame, batch_id: int, checks: list[M.Check], results_path: str,
                         source: str = "stream") -> None:
-    """Check one micro-batch and (over)write its ``batch_id`` partition."""
-    res = (run_checks(batch, checks)
+    """Check one micro-batch, read once, and (over)write its ``batch_id`` partition."""
+    res = (run_checks(batch, checks, persist=True)
            .withColumn("source", F.lit(source))
            .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
     (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -36,16 +35,20 @@ def write_batch_results(batch: DataFrame, batch_id: int, checks: list[M.Check],
 
 
 def check_each_batch(stream: DataFrame, checks: list[M.Check], results_path: str, *,
-                     source: str = "stream", checkpoint_location: str | None = None,
+                     checkpoint_location: str, source: str = "stream",
                      trigger: dict | None = None) -> StreamingQuery:
-    """Start a query that checks every micro-batch and stores the results."""
+    """Start a query that checks every micro-batch and stores the results.
+
+    ``checkpoint_location`` belongs to ``results_path``: a restart with the same
+    one goes on with the next batch number, while a new one would count from
+    zero and overwrite what earlier batches stored.
+    """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         write_batch_results(batch, batch_id, checks, results_path, source)
 
-    spark = stream.sparkSession
     writer = (stream.writeStream.foreachBatch(per_batch)
-              .option("checkpointLocation", checkpoint_location or scratch_path(spark, "check-stream")))
+              .option("checkpointLocation", checkpoint_location))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -53,15 +56,21 @@ def check_each_batch(stream: DataFrame, checks: list[M.Check], results_path: str
 
 def windowed_violation_counts(stream: DataFrame, checks: list[M.Check], ts: str, window: str,
                               watermark: str) -> DataFrame:
-    """Per event-time window: rows and violations of each row-level check."""
+    """Per event-time window: rows and violations of each row-level check.
+
+    A check that can't run on the stream's columns has NULL counts; the others
+    are not affected.
+    """
     row_checks = [c for c in checks if c.kind == M.ROW]
     if len(row_checks) != len(checks):
         raise ValueError("only row-level checks can run as a windowed stream aggregate")
     aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.count_if(F.expr(c.condition)).alias(c.name) for c in row_checks]
+    errors = validate_checks(stream, row_checks)
+    aggs += [(F.lit(None).cast("bigint") if i in errors else F.count_if(F.expr(condition_for(stream, c)))).alias(c.name)
+             for i, c in enumerate(row_checks)]
     if stream.schema[ts].dataType.simpleString() == "timestamp_ntz":
-        # watermarks need TIMESTAMP; read the wall-clock value in the session time zone
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        # watermarks need TIMESTAMP; the wall-clock value is UTC
+        stream = stream.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()))
     return (stream.withWatermark(ts, watermark)
             .groupBy(F.window(F.col(ts), window).alias("window"))
             .agg(*aggs))

@@ -1,5 +1,6 @@
 """Edge rows of the check semantics (FIXTURES.md section 3) and fusion properties."""
 
+import hashlib
 import random
 
 import pytest
@@ -128,7 +129,7 @@ def test_export_and_rerun(spark, users, orders):
 
     checks = suggest_checks(uos)
     results = run_checks(uos, checks)
-    exported = export_checks(spark, checks, results, "uos_view", uos.columns)
+    exported = export_checks(spark, checks, results, "uos_view", uos)
     rows = exported.orderBy("position").collect()
     assert rows[1]["last_run"] == "FAIL — 1 failing row(s)"
     assert rows[0]["last_run"] == "PASS"
@@ -149,12 +150,13 @@ def test_history_and_sql_text(spark, tmp_path, users, orders):
     path = str(tmp_path / "history")
     append_results(res, path, "r1", "uos")
     append_results(res, path, "r2", "uos")
+    append_results(res, path, "r2", "uos")  # a retry replaces its own rows
     summ = {(r["run_id"], r["status"]): r["checks"] for r in summary_by_run(spark.read.parquet(path)).collect()}
     assert summ[("r1", "PASS")] == 9 and summ[("r2", "FAIL")] == 5
-    exported = export_checks(spark, checks, res, "uos_view", uos.columns)
+    exported = export_checks(spark, checks, res, "uos_view", uos)
     text = [r[0] for r in checks_sql_text(exported).collect()]
     assert text[0].startswith("-- [ 1] table__row_count_positive") and text[0].rstrip().endswith(";")
-    out = write_checks_sql(exported, str(tmp_path / "sql"))
+    out = write_checks_sql(exported, str(tmp_path / "sql"), "uos_view")
     assert spark.read.text(out).count() > len(checks)
 
 
@@ -166,10 +168,25 @@ def test_profile_and_grain(spark):
     prof = {r["column_name"]: r for r in profile_with_samples(df).collect()}
     assert prof["id"]["row_count"] == 30 and prof["empty"]["null_count"] == 30
     assert prof["g"]["min_value"] == "0" and prof["g"]["max_value"] == "2"
-    assert prof["name"]["sample_values"] == "n0, n1, n2"
-    grain = {r["candidate"]: r["is_unique"] for r in guess_grain(df).collect()}
-    assert grain["id"] is True
-    assert grain.get("g,name", grain.get("name,g")) is False
+    by_digest = sorted({f"n{i}" for i in range(5)}, key=lambda v: hashlib.md5(v.encode()).hexdigest()[:15])
+    assert prof["name"]["sample_values"] == ", ".join(by_digest[:3])
+    assert prof["empty"]["sample_values"] == "" and len(prof["id"]["sample_values"].split(", ")) == 3
+    assert [(r["candidate"], r["is_unique"]) for r in guess_grain(df).collect()] == [("id", True)]
+    # a key of three columns, none of which helps alone
+    rows = [(a, b, c, a + b + c) for a in range(6) for b in range(6) for c in range(6)]
+    wide = spark.createDataFrame(rows, "a int, `b.x` int, count int, s int")
+    found = {frozenset(r["candidate"].split(",")) for r in guess_grain(wide).collect()}
+    assert found == {frozenset(k) for k in (("a", "b.x", "count"), ("a", "b.x", "s"), ("a", "count", "s"), ("b.x", "count", "s"))}
+
+
+def test_samples_are_the_least_digests_of_all_rows(spark):
+    from tessera.operators.profile import sample_values
+
+    df = spark.range(20_000).selectExpr("id", "id % 7 AS small", "CAST(NULL AS STRING) AS none")
+    for name, values in (("id", range(20_000)), ("small", range(7))):
+        want = sorted(map(str, values), key=lambda v: hashlib.md5(v.encode()).hexdigest()[:15])[:3]
+        assert sample_values(df)[name] == want
+    assert sample_values(df)["none"] == []
 
 
 def test_wide_table_validation(spark):
@@ -192,7 +209,7 @@ def test_duplicates_float_normalisation_and_maps(spark):
     assert count_duplicate_rows(df, "direct") == 2
     assert count_duplicate_rows(df, "hashed") == 2
     maps = spark.sql("SELECT map('k', id % 2) AS m, id % 2 AS a, 1 AS b, 1 AS c, 1 AS d, 1 AS e FROM range(6)")
-    assert count_duplicate_rows(maps, "auto") == 2
+    assert count_duplicate_rows(maps, "direct") == 2
     assert count_duplicate_rows(maps, "hashed") == 2
 
 
@@ -224,3 +241,81 @@ def test_persist_and_materialize_agree(spark, users, orders):
     assert _counts(run_checks(uos, checks, persist=True)) == plain
     assert _counts(run_checks(uos, checks, materialize=True)) == plain
     assert not uos.is_cached
+
+
+AWKWARD = "`count` int, _h1 int, `_p` int, `_v` int, h1 int, n int, `a.b` int, `c``d` int"
+
+
+def test_computed_names_never_meet_the_inputs(spark):
+    """Duplicates, uniqueness, grain, ranks and merges over columns that carry the names the code uses itself."""
+    from tessera.operators.incremental import merge_latest
+    from tessera.operators.profile import grain_candidates
+    from tessera.operators.windows import percent_rank_within
+
+    rows = [(i % 2, 1, 1, i % 4, 1, 1, 1, 1) for i in range(12)]
+    df = spark.createDataFrame(rows, AWKWARD)
+    assert count_duplicate_rows(df, "direct") == count_duplicate_rows(df, "hashed") == 4
+    got = _counts(run_checks(df, [M.no_duplicate_rows(), M.unique("count"), M.unique("a.b"), M.not_null("c`d")]))
+    assert got == {"table__no_duplicate_rows": (4, "FAIL"), "count__unique": (10, "FAIL"), "a.b__unique": (11, "FAIL"), "c`d__not_null": (0, "PASS")}
+    assert grain_candidates(df, [["count", "a.b"]]).first()["distinct_keys"] == 2
+    for method in ("window", "histogram", "split"):
+        ranked = percent_rank_within(df, "count", "_v", method=method)
+        assert ranked.columns == [*df.columns, "percent_rank"] and ranked.count() == 12
+    merged = merge_latest(df.selectExpr("_v AS _src", "h1 AS _latest", "n").distinct(),
+                          spark.createDataFrame([(0, 9, 2), (8, 1, 1)], "_src int, _latest int, n int"), ["_src"], "n")
+    assert sorted(map(tuple, merged.collect())) == [(0, 9, 2), (1, 1, 1), (2, 1, 1), (3, 1, 1), (8, 1, 1)]
+
+
+def test_one_percent_duplicates_without_broadcast(spark):
+    rows = spark.range(2000).selectExpr("id % 1980 AS a", "cast(id % 1980 AS string) AS b", "1 AS c", "2 AS d", "3 AS e")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert count_duplicate_rows(rows, "hashed") == count_duplicate_rows(rows, "direct") == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_accepted_values_and_integral_literals(spark):
+    import datetime as dt
+    import decimal
+
+    D = decimal.Decimal
+    df = spark.createDataFrame(
+        [("a\\b", "it's", dt.date(2020, 1, 1), D("9007199254740992.25"), "7", 1.0, dt.datetime(2020, 1, 1, 5)),
+         ("other", 'q"', dt.date(2020, 1, 2), D("9007199254740993.00"), "7.5", float("nan"), dt.datetime(2020, 1, 2)),
+         (None, None, None, None, "x", 1e300, None)],
+        "s string, t string, d date, m decimal(30,2), w string, f double, z timestamp_ntz")
+    got = run_checks(df, [M.accepted_values("s", ["a\\b"]), M.accepted_values("t", ["it's", 'q"']),
+                          M.accepted_values("d", [dt.date(2020, 1, 1)]), M.accepted_values("s", []),
+                          M.accepted_values("s", [None, "other"]), M.accepted_values("m", [D("9007199254740993.00")]),
+                          M.accepted_values("z", [dt.datetime(2020, 1, 1, 5)]),
+                          M.integral("m"), M.integral("w"), M.integral("f")])
+    assert [(r["failing_rows"], r["error"]) for r in got.orderBy("position").collect()] == [
+        (1, None), (0, None), (1, None), (2, None), (1, None), (1, None), (1, None), (1, None), (2, None), (1, None)]
+
+
+def test_a_callers_cache_stays(spark):
+    df = spark.range(10).selectExpr("id AS user_id").persist()
+    df.count()
+    run_checks(df, [M.not_null("user_id"), M.unique("user_id")], persist=True)
+    assert df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_days_and_ranges_are_utc_in_any_session_zone(spark):
+    from tessera.functions.predicates import time_range, trailing_days
+    from tessera.functions.scalars import is_weekend, to_day
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.sql("SELECT timestamp_seconds(1704592800) AS z, TIMESTAMP_NTZ '2024-01-07 02:00:00' AS n")  # a Sunday, 02:00 UTC
+            for c in ("z", "n"):
+                assert str(df.select(to_day(c)).first()[0]) == "2024-01-07" and df.select(is_weekend(c)).first()[0]
+                assert df.filter(time_range(c, "2024-01-07", "2024-01-08")).count() == 1
+                assert df.filter(time_range(c, "2024-01-06", "2024-01-07")).count() == 0
+                assert df.filter(trailing_days(c, 1, as_of="2024-01-08 01:00:00", exclude_today=True)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

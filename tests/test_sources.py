@@ -4,7 +4,7 @@ import pytest
 
 from tessera.sources.csv import scan_csv, write_csv
 from tessera.sources.sinks import materialize, scratch_path, write_table
-from tessera.sources.tables import read_parquet, scan_table, spread_small_scan
+from tessera.sources.tables import scan_table
 
 from conftest import SF_SMALL
 
@@ -25,12 +25,6 @@ def test_csv_explicit_schema_vs_inference(spark, tmp_path):
     assert inferred.schema["a"].dataType.simpleString() == "int"   # why an explicit schema is preferred
 
 
-def test_spread_only_small_scans(spark):
-    df = read_parquet(spark, f"{SF_SMALL}/orders.parquet", spread=False)
-    assert spread_small_scan(df, floor=1) is df               # already enough partitions: unchanged
-    assert spread_small_scan(df, floor=4).rdd.getNumPartitions() == 4
-
-
 def test_write_table_dynamic_partition_overwrite(spark, tmp_path):
     path = str(tmp_path / "by_month")
     write_table(spark.createDataFrame([(1, "a"), (2, "b")], "m int, v string"), path, partition_by=["m"])

@@ -60,3 +60,24 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     res = spark.read.parquet(out)
     assert res.filter("batch_id = 0").count() == len(CHECKS)
     assert res.filter("batch_id = 1").count() == len(CHECKS)
+
+
+def test_a_restart_keeps_the_results_of_earlier_batches(spark, tmp_path):
+    ev, stream = _stream_dir(spark, tmp_path)
+    out, ckpt = str(tmp_path / "results"), str(tmp_path / "ckpt")
+    check_each_batch(stream, CHECKS, out, checkpoint_location=ckpt, trigger={"availableNow": True}).awaitTermination(120)
+    ev.limit(20).coalesce(1).write.mode("append").parquet(str(tmp_path / "events_in"))
+    check_each_batch(stream, CHECKS, out, checkpoint_location=ckpt, trigger={"availableNow": True}).awaitTermination(120)
+    res = spark.read.parquet(out)
+    assert sorted(r[0] for r in res.select("batch_id").distinct().collect()) == [0, 1, 2]
+    assert res.count() == 3 * len(CHECKS)
+
+
+def test_a_bad_check_does_not_stop_the_windowed_counts(spark, tmp_path):
+    _, stream = _stream_dir(spark, tmp_path)
+    agg = windowed_violation_counts(stream, [M.not_null("user_id"), M.not_null("no_such_column")], "ts", "1 day", "1 day")
+    q = (agg.writeStream.outputMode("update").format("memory").queryName("dq_bad")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    rows = spark.sql("SELECT * FROM dq_bad").collect()
+    assert rows and all(r["user_id__not_null"] == 0 and r["no_such_column__not_null"] is None for r in rows)
