@@ -13,9 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import checkpoint_dir
 
 
+#: Scratch folders of this process that :func:`drop_scratch` deletes.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint directory."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder that this process has written so far; their number.
+
+    Lazy results read their stages from there, so call it once a job's results
+    are written elsewhere.
+    """
+    paths, _scratch[:] = list(_scratch), []
+    for path in paths:
+        drop_path(spark, path)
+    return len(paths)
 
 
 def write_table(df: DataFrame, path_or_table: str, mode: str = "overwrite",

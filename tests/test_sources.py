@@ -62,3 +62,16 @@ def test_checkpoint_dir_required_on_cluster_masters():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Session())
+
+
+def test_scratch_is_dropped_on_request(spark):
+    from tessera.sources.sinks import drop_path, drop_scratch, materialize
+
+    drop_scratch(spark)
+    df = materialize(spark.range(5).toDF("id"), "dropped")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 5 and drop_scratch(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="checkpoint"):
+        drop_path(spark, "/elsewhere/table")
