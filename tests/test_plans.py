@@ -9,7 +9,7 @@ from tessera.plans import catalog as C
 from tessera.plans import reports as RP
 from tessera.sources import derived as D
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 
 
 def plan(df) -> str:
@@ -70,3 +70,36 @@ def test_period_over_period_window_after_aggregate(spark):
     p = plan(C.q_period_over_period(spark, SF_MID))
     # the un-partitioned window sits above the per-day aggregate
     assert p.index("Window") < p.index("HashAggregate")
+
+
+def test_report_prunes_and_filters_nested_columns(spark, tmp_path):
+    """C4 over nested parquet: the history reads one leaf, the window's nested filter reaches the scan."""
+    from tessera.plans.reports import clean_downloads, download_history
+    from tessera.sources.derived import downloads_from_lineitem
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    path = str(tmp_path / "downloads")
+    downloads_from_lineitem(spark, SF_SMALL).write.parquet(path)
+    downloads = spark.read.parquet(path)
+    history = download_history(downloads, "1996-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<timestamp:timestamp_ntz,file:struct<project:string>>" in history
+    window = clean_downloads(downloads, "1996-01-01", "2002-01-01")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(details.system.name,Linux)" in window and "GreaterThanOrEqual(timestamp," in window
+
+
+def test_every_filter_of_the_report_removes_rows(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import predicates as P
+    from tessera.plans.reports import REPORT_DISTROS, aggregate_downloads, clean_downloads
+    from tessera.sources.derived import downloads_from_lineitem
+
+    d = downloads_from_lineitem(spark, SF_SMALL)
+    n = d.count()
+    for keep in (P.not_excluded_project("file.project"), P.valid_code("country_code"), F.col("details.distro.name").isin(list(REPORT_DISTROS)),
+                 F.col("details.system.name") == "Linux"):
+        assert 0 < d.filter(keep).count() < n
+    cleaned = clean_downloads(d, "1996-01-01", "2002-01-01")
+    groups = cleaned.select(*[c for c in cleaned.columns if c not in ("timestamp", "sys_release")]).distinct().count()
+    assert 0 < aggregate_downloads(cleaned, min_downloads=0).count() < groups
