@@ -65,12 +65,14 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
 
 
-def sample_rows(rows: DataFrame, limit: int, total: int, key: Column, seed: int = 11) -> DataFrame:
-    """About ``limit`` of ``total`` rows, chosen by a hash of ``key`` (the same on every run)."""
-    if total <= limit:
-        return rows
+def sample_rows(rows: DataFrame, column: str, totals: dict, limit: int, key: Column, seed: int = 11) -> DataFrame:
+    """About ``limit`` rows of each value of ``column``, chosen by a hash of ``key`` (the same on every run).
+
+    ``totals`` has the number of rows of each value; one pass serves all values.
+    """
     buckets = 1 << 30
-    return rows.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)) < int(buckets * limit / total))
+    share = [x for v, n in sorted(totals.items()) for x in (F.lit(v), F.lit(buckets if n <= limit else int(buckets * limit / n)))]
+    return rows.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)) < F.create_map(*share)[F.col(column)])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int,
@@ -82,8 +84,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     taught = labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
     taught = taught.filter(F.col("label").isin(0, 1) & F.col("label_id").isNotNull() & (fold(F.col("label_id"), folds) != held_out))
     totals = {r["label"]: r["count"] for r in taught.groupBy("label").count().collect()}
-    some = [sample_rows(taught.filter(F.col("label") == v), per_class, n, F.col("label_id")) for v, n in sorted(totals.items())]
-    sample = some[0].unionByName(some[-1]).distinct() if some else taught.limit(0)
+    sample = sample_rows(taught, "label", totals, per_class, F.col("label_id")).distinct() if totals else taught.limit(0)
     texts = doc_text(docs)
     # the sample is about 2 * per_class ids
     return texts.join(F.broadcast(sample), texts.doc_id == sample.label_id).select("doc_id", "text", "label"), totals

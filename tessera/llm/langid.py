@@ -190,12 +190,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, h
     taught = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
     totals = {r["lang"]: r["count"] for r in taught.groupBy("lang").count().collect()}
-    sample = None
-    for lang, total in sorted(totals.items()):
-        some = sample_rows(taught.filter(F.col("lang") == lang), per_language, total, F.col("doc_id"))
-        sample = some if sample is None else sample.unionByName(some)
-    if sample is None:
+    if not totals:
         return Trees([], [], [], [], [])
+    sample = sample_rows(taught, "lang", totals, per_language, F.col("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
