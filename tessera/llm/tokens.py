@@ -22,8 +22,9 @@ WHITE_SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u202
 LATIN = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 #: A run of letters before white space, ASCII punctuation (the apostrophe apart) or the end is a segment.
 _LETTERS = rf"[{LATIN}]++(?![^{WHITE_SPACE}!-&(-/:-@\[-`{{-~])"
-#: Segments that a worker remembers, and the longest of them in characters.
-KEPT_SEGMENTS, KEPT_LENGTH = 1_000_000, 40
+#: Segments of a generation that a worker remembers, and the longest of them in characters.  When a generation is
+#: full it becomes the old one, from which segments that are met again are taken over; the one before goes.
+KEPT_SEGMENTS, KEPT_LENGTH = 700_000, 40
 #: Segments encoded in one call, with a separator between them.
 JOINED = 512
 
@@ -38,6 +39,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ask(self, segments: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(segments, add_special_tokens=False)]
@@ -79,9 +81,13 @@ class SegmentEncoder(Encoder):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_SEGMENTS:
-            self.kept = {}
+            self.old, self.kept = self.kept, {}
         rows = [self.cut(text) for text in texts]
         new = set(chain.from_iterable(rows)).difference(self.kept)
+        if self.old:
+            again = new & self.old.keys()
+            self.kept.update({s: self.old[s] for s in again})
+            new -= again
         long = self._learn(sorted(new)) if new else {}
         get = self.kept.__getitem__
         if long:

@@ -143,3 +143,17 @@ def test_bound_and_best_fit():
         bound = packing.bin_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         assert bound <= least_bins(lengths, capacity) <= len(set(bins.tolist()))
         assert all(o + n <= capacity for o, n in zip(offsets.tolist(), lengths, strict=True))
+
+
+def test_generations_of_segments_change_nothing(monkeypatch):
+    from tessera.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_SEGMENTS", 20)
+    random.seed(8)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    made = tokens.ENCODERS["byte_bpe_50k.json"](path)
+    words = [f"word{i % 37}x" for i in range(400)]
+    texts = [" ".join(random.sample(words, 12)) for _ in range(60)]
+    got = [ids for i in range(0, 60, 3) for ids in made.encode(texts[i:i + 3])]
+    assert got == [np.array(direct("byte_bpe_50k.json", t, 0)[:-1], np.uint32).tobytes() for t in texts]
+    assert len(made.kept) < 80
