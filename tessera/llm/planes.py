@@ -225,7 +225,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield _rows(rows)
 
-    return placed.repartition("file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # the manifest is small, so its size says nothing of the work: a task a file, as far as there are so many
+    return placed.repartition(max(1, manifest.count()), "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

@@ -74,6 +74,9 @@ class SegmentEncoder(Encoder):
             some = segments[at:at + JOINED]
             ids = np.array(self.tokenizer.encode(self.separator.join(some), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(ids == self.separator_id)
+            if len(ends) + 1 != len(some):  # not cut as expected: ask for each
+                self.kept.update(zip(some, self._ask(some), strict=True))
+                continue
             raw, from_ = ids.tobytes(), [0, *(4 * ends + 4).tolist()]
             to = [*(4 * ends).tolist(), len(raw)]
             self.kept.update(zip(some, [raw[a:b] for a, b in zip(from_, to, strict=True)], strict=True))
