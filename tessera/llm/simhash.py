@@ -163,30 +163,38 @@ def close_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     return dealt.mapInArrow(_bucket_links(distance), "u long, v long").distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, *extra: str,
-                blocks: int = BLOCKS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """doc_id, fingerprint, component_id and the named extra columns of every row."""
+def _rooted_rows(docs: DataFrame, shingle: int, distance: int, *extra: str, blocks: int = BLOCKS,
+                 hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """doc_id, fingerprint, component_id, component_root and the named extra columns of every row.
+
+    The root is the least fingerprint of a component and names it; the id does not, as it may be null or repeated.
+    """
     rows = write_stage(fingerprints(docs, shingle, *extra), "fingerprints")
     nodes = write_stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
     roots = write_stage(components(close_links(nodes, distance, blocks, hot_bucket)), "roots")
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id")).select(F.col("root").alias("r"), "component_id")
-    named = write_stage(rooted.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id"), "components")
+    named = write_stage(rooted.join(least, F.col("root") == F.col("r")).select(
+        F.col("fp").alias("f"), "component_id", F.col("root").alias("component_root")), "components")
     return rows.join(named, F.col("fp") == F.col("f")).select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *extra)
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component_root", *extra)
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, *extra: str,
+                blocks: int = BLOCKS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """doc_id, fingerprint, component_id and the named extra columns of every row."""
+    rooted = _rooted_rows(docs, shingle, distance, *extra, blocks=blocks, hot_bucket=hot_bucket)
+    return rooted.select("doc_id", "fingerprint", "component_id", *extra)
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each component, that of the least ``doc_id``, with all its columns."""
+    """One row of each component, that of the least ``doc_id`` (a null id last) and then text digest, with all its columns."""
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     tagged = docs.select("doc_id", "text", sha.alias("text_sha"))
-    groups = near_groups(tagged, shingle, distance, "text_sha")
-    # of rows with the component's id, the least text digest stays
-    best = write_stage(groups.select("doc_id", "text_sha", "component_id", "fingerprint"), "near-groups")
-    first = (best.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
-             .agg(F.min("text_sha").alias("first_sha")).select(F.col("component_id").alias("c"), "first_sha"))
-    decided = best.join(first, F.col("component_id").eqNullSafe(F.col("c")), "left").select(
-        "doc_id", "text_sha", (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_sha") == F.col("first_sha"))).alias("kept"))
+    rows = write_stage(_rooted_rows(tagged, shingle, distance, "text_sha").select("doc_id", "text_sha", "component_root"), "near-groups")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_sha")
+    first = rows.groupBy("component_root").agg(F.min(place).alias("first")).select(F.col("component_root").alias("c"), "first")
+    decided = rows.join(first, F.col("component_root") == F.col("c")).select("doc_id", "text_sha", (place == F.col("first")).alias("kept"))
     return keep_rows(docs, decided, {"doc_id": F.col("doc_id"), "text_sha": sha})
 
 

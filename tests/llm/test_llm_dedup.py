@@ -117,6 +117,14 @@ def test_simhash_odd_rows(odd_docs, no_docs):
     assert simhash.near_groups(no_docs).count() == 0 and simhash.drop_near_copies(no_docs).count() == 0
 
 
+def test_simhash_keeps_a_row_of_each_component_whatever_its_ids(spark):
+    """Texts without an id and unrelated texts under one id are components of their own."""
+    texts = [" ".join(f"{w}{k}" for k in range(30)) for w in ("alpha", "beta", "gamma", "delta")]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[3]), (None, texts[3])]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3])], key=repr)
+
+
 @pytest.mark.parametrize("hot_bucket", [4096, 2])
 def test_close_links_of_dense_groups(spark, hot_bucket):
     """Balls of close fingerprints and chains; with a tiny limit every bucket takes the refined way."""
