@@ -117,8 +117,11 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
-def _packed(rows: DataFrame, parts: int, capacity: int, run: int) -> DataFrame:
-    """``rows`` dealt to ``parts`` partitions and packed, with what certifies each partition."""
+def _packed(rows: DataFrame, parts: int, capacity: int, run: int, first: int) -> DataFrame:
+    """``rows`` dealt to ``parts`` partitions and packed, with what certifies each partition.
+
+    ``first`` is the number of partitions of all rounds before, so that no two rounds share a sequence id.
+    """
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(run)), F.lit(parts)))
     names = rows.columns
     added = ["sequence_id", "offset", "space", "part", "gap"]
@@ -130,7 +133,7 @@ def _packed(rows: DataFrame, parts: int, capacity: int, run: int) -> DataFrame:
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         part = table["part"][0].as_py()
         gap = len(fill) - bin_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        made = [bins + ((run * parts + part) << 32), offsets, (capacity - fill)[bins], np.full(len(bins), part), np.full(len(bins), gap)]
+        made = [bins + ((first + part) << 32), offsets, (capacity - fill)[bins], np.full(len(bins), part), np.full(len(bins), gap)]
         return pa.table([*[table[c] for c in names], *[pa.array(x, pa.int64()) for x in made]],
                         names=[*names, *added])
 
@@ -152,7 +155,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, part_tokens: int = PART_TOKE
         {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}), "full-pieces")
     rest = rows.filter(~whole)
     parts = _parts(rest, part_tokens, part_pieces)
-    settled, open_ = full, write_stage(_packed(rest, parts, capacity, 0), "packed")
+    settled, open_ = full, write_stage(_packed(rest, parts, capacity, 0, 0), "packed")
+    dealt = parts
     out = [*given, "sequence_id", "offset"]
     for run in range(1, rounds + 1):
         if parts == 1:
@@ -165,7 +169,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, part_tokens: int = PART_TOKE
         marked = write_stage(marked.drop("p", "tail"), "marked")
         given_up = marked.filter("again")
         parts = _parts(given_up, part_tokens, part_pieces)
-        packed = write_stage(_packed(given_up.select(*given), parts, capacity, run << 16), "repacked")
+        packed = write_stage(_packed(given_up.select(*given), parts, capacity, run << 16, dealt), "repacked")
+        dealt += parts
         before, after = (x.filter("offset = 0").count() for x in (given_up, packed))
         if after >= before:
             break

@@ -102,6 +102,19 @@ def test_packing_query(spark):
     assert check_packing(packing.pack(pieces, part_pieces=25).collect(), ids) <= least * 1.05 + 1
 
 
+def test_rounds_of_packing_share_no_sequence(spark, monkeypatch):
+    """Partitions 60, 8 and 4 in rounds 0, 1 and 2: sequences of all rounds stay apart."""
+    given = [4, 8, 60]
+    monkeypatch.setattr(packing, "_parts", lambda *_: given.pop() if given else 1)
+    rows = spark.range(6000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "1L AS length")
+    got = packing.pack(rows, capacity=100).collect()
+    assert not given and sorted(r.doc_id for r in got) == list(range(6000))
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append(r.offset)
+    assert all(sorted(places) == list(range(len(places))) and len(places) <= 100 for places in sequences.values())
+
+
 def test_packing_odd_rows(odd_docs, no_docs):
     docs = odd_docs.dropDuplicates(["doc_id"])
     ids = {r.doc_id: direct("byte_bpe_50k.json", r.text, 0) for r in docs.collect()}
