@@ -44,9 +44,11 @@ LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8":
               "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 SEPARATORS = " .-_*~'`,/\\"
 #: Bits that the channel takes for a look-alike, a dropped separator, shrinking a longer run, and making one of a double letter.
-COST_ALIKE, COST_DROP, COST_SHRINK, COST_SINGLE = 1.0, 0.5, 0.5, 6.0
+COST_ALIKE, COST_DROP, COST_SHRINK, COST_SINGLE = 1.0, 0.5, 0.5, 9.0
 #: Bits for reading a look-alike as a boundary, or a separator between single letters as one.
 COST_BREAK, COST_KEEP = 16.0, 4.0
+#: The same where no letter follows: marks often end a word, digits less often.
+COST_MARK, COST_DIGIT = 4.0, 10.0
 #: Lengths of the word beginnings that are features.
 STARTS = range(4, 9)
 #: Letters of the language model: boundary, a-z, the Latin-1 letters, and one for all others.
@@ -55,13 +57,17 @@ SIZE = len(ALPHABET)
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 OTHER = SIZE - 1
 
-#: A look-alike before a letter; what stands around it is looked at then.
-_ALIKE = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}](?=[^\W\d_])")
+_MARKS = "".join(LOOKALIKES)
+_LETTER, _LIKE = r"[^\W\d_]", f"[{re.escape(_MARKS)}]"
+#: A look-alike beside a letter; what stands around it is looked at then.
+_ALIKE = re.compile(f"{_LIKE}(?={_LETTER})|(?<={_LETTER}){_LIKE}")
 #: A token of letters and look-alikes that starts or goes on with a letter after one or two look-alikes.
-_TOKEN = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}]{{0,2}}[^\W\d_]+(?:[{re.escape(''.join(LOOKALIKES))}]+[^\W\d_]+)*")
-_APART = re.compile(rf"(?<![^\W_])(?:[^\W\d_][{re.escape(SEPARATORS)}]{{1,3}}){{2,}}[^\W\d_](?![^\W_])")
+_TOKEN = re.compile(f"{_LIKE}{{0,2}}{_LETTER}+(?:{_LIKE}+{_LETTER}+)*{_LIKE}*")
+_APART = re.compile(rf"(?<![^\W_])(?:(?:{_LETTER}|{_LIKE})[{re.escape(SEPARATORS)}]{{1,3}}){{2,}}(?:{_LETTER}|{_LIKE})(?![^\W_])")
+_HAS_LETTER = re.compile(_LETTER).search
 _DOMAIN_GOES_ON = re.compile(r"[\w-]*\.\w").match
-_RUN = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+#: A word with a letter twice in a row, tried from its first letter only.
+_RUN = re.compile(f"(?<!{_LETTER}){_LETTER}*?({_LETTER})\\1{_LETTER}*")
 _WORDS = re.compile(r"[^\W\d_]+").findall
 #: Decoded tokens that a worker remembers.
 KEPT = 100_000
@@ -83,25 +89,27 @@ def _latin() -> np.ndarray:
 
 
 _LATIN = _latin()
+#: Letters and look-alikes among the first 256 characters; all above count.
+_UNIT = (_LATIN != 0) | np.array([chr(i) in LOOKALIKES for i in range(257)])
 
 
 def suspicious(text: str) -> tuple[bool, bool]:
-    """Whether three single letters stand apart in a row, and whether a letter is repeated three times."""
+    """Whether three single letters or look-alikes stand apart in a row, and whether a letter is repeated."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    if len(points) < 3:
+    if len(points) < 2:
         return False, False
-    letter = _LATIN[np.minimum(points, 256)] != 0
-    triple = (points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]) & letter[2:]
-    edge = np.diff(letter.view(np.int8), prepend=0, append=0)
+    low = np.minimum(points, 256)
+    double = (points[1:] == points[:-1]) & (_LATIN[low[1:]] != 0)
+    edge = np.diff(_UNIT[low].view(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     single = ends - starts == 1
     near = starts[1:] - ends[:-1] <= 3
     apart = single[2:] & single[1:-1] & single[:-2] & near[1:] & near[:-1] if len(starts) > 2 else np.zeros(0, bool)
-    return bool(apart.any()), bool(triple.any())
+    return bool(apart.any()), bool(double.any())
 
 
 def _token_end(text: str, at: int) -> int:
-    """End of the letters and look-alikes from ``at`` on, without look-alikes that no letter follows."""
+    """End of the letters and look-alikes from ``at`` on; look-alikes before another digit are part of a number."""
     end = last = at
     while end < len(text):
         c = text[end]
@@ -110,7 +118,7 @@ def _token_end(text: str, at: int) -> int:
         elif c not in LOOKALIKES:
             break
         end += 1
-    return last
+    return last if end < len(text) and text[end].isdigit() else end
 
 
 @dataclass
@@ -156,7 +164,7 @@ class CharModel:
                     if (c1, c2) not in new or total < new[c1, c2][0]:
                         new[c1, c2] = (total, (path, emitted))
             best = new
-        _, path = min(((cost + float(bits[a, b, 0]), path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])
+        _, path = min(((cost + (float(bits[a, b, 0]) if b else 0.0), path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])
         parts = []
         while path is not None:
             path, emitted = path
@@ -168,15 +176,23 @@ class CharModel:
         text = text.lower()
         apart, runs = suspicious(text)
         if apart:
-            text = _APART.sub(lambda m: self.restore(m[0]), text)
+            text = _APART.sub(lambda m: self.restore(m[0]) if _HAS_LETTER(m[0]) else m[0], text)
         if _ALIKE.search(text):
             text = self._restore_alikes(text)
         if runs:
             text = _RUN.sub(lambda m: self.restore(m[0]), text)
         return text
 
+    def _word(self, token: str) -> str:
+        """A token restored; what is read as the boundary at its end stays as it is written."""
+        out = self.restore(token)
+        word, stem = out.rstrip(" "), token
+        for _ in range(len(out) - len(word)):
+            stem = stem.rstrip(stem[-1])
+        return word + token[len(stem):]
+
     def _restore_alikes(self, text: str) -> str:
-        """Only tokens with a look-alike before a letter are looked at."""
+        """Only tokens with a look-alike beside a letter are looked at."""
         parts, end = [], 0
         for m in _ALIKE.finditer(text):
             at = m.start()
@@ -188,17 +204,19 @@ class CharModel:
             token = _TOKEN.fullmatch(text, start, _token_end(text, at))
             address = token and "@" in token[0] and _DOMAIN_GOES_ON(text, token.end())
             if token and not address and (start == 0 or not text[start - 1].isdigit()):
-                parts += [text[end:start], self.restore(token[0])]
+                parts += [text[end:start], self._word(token[0])]
                 end = token.end()
         return "".join([*parts, text[end:]]) if parts else text
 
 
 def lattice(token: str) -> Iterator[list[tuple[str, float]]]:
     """For each run of one character: the readings (letters, cost in bits) it allows."""
+    tail = len(token.rstrip(_MARKS))
     for m in re.finditer(r"(.)\1*", token, re.DOTALL):
         c, n = m[1], len(m[0])
         if c in LOOKALIKES:
-            yield [*((x * k, COST_ALIKE * n) for x in LOOKALIKES[c] for k in {1, min(n, 2)}), (" ", COST_BREAK)]
+            end = COST_BREAK if m.start() < tail else COST_DIGIT if c.isdigit() else COST_MARK
+            yield [*((x * k, COST_ALIKE * n) for x in LOOKALIKES[c] for k in {1, min(n, 2)}), (" ", end)]
         elif c in SEPARATORS:
             yield [("", COST_DROP), (" ", COST_KEEP)]
         elif n > 1 and c.isalpha():

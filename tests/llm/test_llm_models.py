@@ -137,6 +137,18 @@ def test_restoring(spark):
         assert model.restored(plain) == plain.lower()
 
 
+def test_restoring_what_stands_at_the_end_apart_or_twice(spark):
+    words = ["an idiot is here", "the clown went by", "worthless trash", "the other idiot", "a moron and a loser", "so stupid", "a hello to all the good"]
+    docs = spark.createDataFrame([(i, f"{w} " * 20) for i, w in enumerate(words)], "doc_id long, text string")
+    model = toxicity.char_model(docs)
+    for token, word in (("id107", "idiot"), ("idi07", "idiot"), ("idio7", "idiot"), ("1d107", "idiot"), ("m 0 r 0 n", "moron"),
+                        ("t r 4 s h", "trash"), ("l 0 s e r", "loser"), ("s t u p 1 d", "stupid"), ("1 d 1 0 7", "idiot"),
+                        ("stuupid", "stupid"), ("iidiioott", "idiot"), ("idi07!!!", "idiot!!!"), ("moron!", "moron!")):
+        assert model.restored(f"by {token} there") == f"by {word} there", token
+    for plain in ("a$$$", "THE!!", "hello to all the good!", "good by 2 of 1 3 5 here", "x@y.z 4111 +1 (555)", "by.", "the stupid idiot!"):
+        assert model.restored(plain) == plain.lower()
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs, odd_labels, no_labels):
     model = toxicity.char_model(odd_docs)
     got = toxicity.toxicity(odd_docs, model, toxicity.fit(odd_docs, odd_labels, model), with_text=True).collect()
