@@ -11,7 +11,7 @@ model joins the three largest.
 
 The language model counts character trigrams of all texts.  The scorer is fitted
 on about ``per_class`` labelled rows of each class at most, chosen by a hash of
-``doc_id``, and uses at most ``max_features`` features.
+``doc_id``, and uses every feature above ``LEAST_GAIN``; the sample bounds their number.
 
 Defined results: a null or empty text has no feature and gets the score of the
 intercept, about the share of label 1; without labelled rows every score is 0.
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import doc_text, fold, labelled_sample, read_table, slices, write_stage
 
 FOLDS, HELD_OUT = 4, 2
-PER_CLASS, MAX_FEATURES = 4000, 300
+PER_CLASS = 4000
 #: Least gain (in nats of the sample) of a feature, so that a few rows of one label are no evidence.
 LEAST_GAIN = 12.0
 THRESHOLD = 0.3
@@ -292,7 +292,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
 
 
 def fit(docs: DataFrame, labels: DataFrame, chars: CharModel, label: str = "toxic", per_class: int = PER_CLASS,
-        max_features: int = MAX_FEATURES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Scorer:
+        folds: int = FOLDS, held_out: int = HELD_OUT) -> Scorer:
     sample, totals = labelled_sample(docs, labels, label, per_class, folds, held_out)
     if not totals:
         return Scorer({}, [0.0] * 3, -1e3)
@@ -325,7 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, chars: CharModel, label: str = "toxi
     gain = part(F.col("n0"), n0) + part(F.col("n1"), n1)
     best = (counts.filter("n1 >= 3").withColumn("gain", gain)
             .filter((F.col("gain") > LEAST_GAIN) & (F.col("n1") / float(n1) > F.col("n0") / float(n0)))
-            .orderBy(F.desc("gain"), "feature").limit(max_features).collect())
+            .collect())
     evidence = {r["feature"]: float(np.log((r["n1"] + 0.5) / (n1 + 1)) - np.log((r["n0"] + 0.5) / (n0 + 1))) for r in best}
     scorer = Scorer(evidence, [0.0] * 3, 0.0)
 

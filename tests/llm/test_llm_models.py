@@ -149,6 +149,18 @@ def test_restoring_what_stands_at_the_end_apart_or_twice(spark):
         assert model.restored(plain) == plain.lower()
 
 
+def test_evidence_of_a_large_vocabulary(spark):
+    """400 toxic words, each in few documents: all are evidence, none is cut by a bound on features."""
+    rng = random.Random(4)
+    made = sorted({"".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 9)) for _ in range(400)})
+    rows = [(i, f"some text with {made[i % 400]} and {made[(i * 7 + 3) % 400]} in it", 1) for i in range(8000)]
+    rows += [(i, f"some text with nothing and {i % 50} in it", 0) for i in range(8000, 24000)]
+    both = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scorer = toxicity.fit(both, both, toxicity.char_model(both), per_class=10_000)
+    assert sum(w in scorer.evidence for w in made) == 400
+    assert all(scorer.score(text) > toxicity.THRESHOLD for _, text, y in rows[:400]) and scorer.score("some text with nothing") < 0.1
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs, odd_labels, no_labels):
     model = toxicity.char_model(odd_docs)
     got = toxicity.toxicity(odd_docs, model, toxicity.fit(odd_docs, odd_labels, model), with_text=True).collect()
