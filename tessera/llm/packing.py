@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import doc_text, ids_crc32, slices, write_stage
+from tessera.llm.common import doc_text, fresh, ids_crc32, slices, write_stage
 from tessera.llm.tokens import encode
 
 CAPACITY, END_ID = 2048, 0
@@ -117,12 +117,13 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
-def _packed(rows: DataFrame, parts: int, capacity: int, run: int, first: int) -> DataFrame:
+def _packed(rows: DataFrame, number: str, parts: int, capacity: int, run: int, first: int) -> DataFrame:
     """``rows`` dealt to ``parts`` partitions and packed, with what certifies each partition.
 
+    They are dealt by a hash of their ``number``, which no two rows share, so that equal rows spread too.
     ``first`` is the number of partitions of all rounds before, so that no two rounds share a sequence id.
     """
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(run)), F.lit(parts)))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(number, F.lit(run)), F.lit(parts)))
     names = rows.columns
     added = ["sequence_id", "offset", "space", "part", "gap"]
     schema = T.StructType([*rows.schema.fields, *[T.StructField(c, T.LongType()) for c in added]])
@@ -148,16 +149,18 @@ def _parts(rows: DataFrame, part_tokens: int, part_pieces: int) -> int:
 def pack(rows: DataFrame, capacity: int = CAPACITY, part_tokens: int = PART_TOKENS, part_pieces: int = PART_PIECES,
          rounds: int = ROUNDS) -> DataFrame:
     """``rows`` (doc_id, piece, start, length of at most ``capacity``, any others) with sequence_id and offset."""
-    given = rows.columns
+    given, number = rows.columns, fresh("row")
+    # written with the rows, so that a task that runs again deals them alike
+    rows = write_stage(rows.withColumn(number, F.monotonically_increasing_id()), "pieces")
     whole = F.col("length") == capacity
     # a full piece is a sequence by itself
     full = write_stage(rows.filter(whole).withColumns(
         {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}), "full-pieces")
     rest = rows.filter(~whole)
     parts = _parts(rest, part_tokens, part_pieces)
-    settled, open_ = full, write_stage(_packed(rest, parts, capacity, 0, 0), "packed")
-    dealt = parts
     out = [*given, "sequence_id", "offset"]
+    settled, open_ = full.select(*out), write_stage(_packed(rest, number, parts, capacity, 0, 0), "packed")
+    dealt = parts
     for run in range(1, rounds + 1):
         if parts == 1:
             break
@@ -169,20 +172,20 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, part_tokens: int = PART_TOKE
         marked = write_stage(marked.drop("p", "tail"), "marked")
         given_up = marked.filter("again")
         parts = _parts(given_up, part_tokens, part_pieces)
-        packed = write_stage(_packed(given_up.select(*given), parts, capacity, run << 16, dealt), "repacked")
+        packed = write_stage(_packed(given_up.select(*given, number), number, parts, capacity, run << 16, dealt), "repacked")
         dealt += parts
         before, after = (x.filter("offset = 0").count() for x in (given_up, packed))
         if after >= before:
             break
         settled = settled.unionByName(marked.filter("not again").select(*out))
         open_ = packed
-    return settled.select(*out).unionByName(open_.select(*out))
+    return settled.unionByName(open_.select(*out))
 
 
 def packed_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, end_id: int = END_ID,
                      with_ids: bool = False) -> DataFrame:
     """Pieces of all texts with their places: doc_id, piece, start, length, ids_crc32, (ids,) sequence_id, offset."""
-    return pack(write_stage(pieces(docs, capacity, path, end_id, with_ids), "pieces"), capacity)
+    return pack(pieces(docs, capacity, path, end_id, with_ids), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

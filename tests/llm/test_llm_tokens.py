@@ -103,16 +103,29 @@ def test_packing_query(spark):
 
 
 def test_rounds_of_packing_share_no_sequence(spark, monkeypatch):
-    """Partitions 60, 8 and 4 in rounds 0, 1 and 2: sequences of all rounds stay apart."""
-    given = [4, 8, 60]
-    monkeypatch.setattr(packing, "_parts", lambda *_: given.pop() if given else 1)
-    rows = spark.range(6000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "1L AS length")
-    got = packing.pack(rows, capacity=100).collect()
-    assert not given and sorted(r.doc_id for r in got) == list(range(6000))
+    """Partitions 128, 32 and 16 in rounds 0, 1 and 2: sequences of all rounds stay apart."""
+    given = [16, 32, 128]
+    monkeypatch.setattr(packing, "_parts", lambda *_: given.pop() if given else 16)
+    rows = spark.range(7680).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "1L AS length")
+    got = packing.pack(rows, capacity=200).collect()
+    assert not given and sorted(r.doc_id for r in got) == list(range(7680))
     sequences = defaultdict(list)
     for r in got:
         sequences[r.sequence_id].append(r.offset)
-    assert all(sorted(places) == list(range(len(places))) and len(places) <= 100 for places in sequences.values())
+    assert all(sorted(places) == list(range(len(places))) and len(places) <= 200 for places in sequences.values())
+
+
+def test_repeated_rows_are_dealt_evenly(spark, monkeypatch):
+    """Rows that agree in all their columns go to all partitions, not to one."""
+    monkeypatch.setattr(packing, "_parts", lambda *_: 8)
+    dealt = []
+    packed = packing._packed
+    monkeypatch.setattr(packing, "_packed", lambda *a: dealt.append(packed(*a)) or dealt[-1])
+    rows = spark.range(800).selectExpr("cast(NULL AS long) AS doc_id", "0 AS piece", "0L AS start", "1L AS length")
+    got = packing.pack(rows, capacity=200, rounds=0)
+    assert got.columns == [*rows.columns, "sequence_id", "offset"] and got.count() == 800
+    sizes = [r["count"] for r in dealt[0].groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 200
 
 
 def test_packing_odd_rows(odd_docs, no_docs):
