@@ -79,7 +79,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
                     held_out: int) -> tuple[DataFrame, dict[int, int]]:
     """doc_id, text, label of about ``per_class`` labelled rows of each class, outside the held-out fold.
 
-    Also the number of such rows of each class.  Rows with a null id or label are left out.
+    Also the number of such rows of each class.  Rows with a null id or label are left out.  A ``doc_id`` that
+    ``docs`` repeats gives one row for each of its labels, with one of its texts, chosen by a digest.
     """
     taught = labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
     taught = taught.filter(F.col("label").isin(0, 1) & F.col("label_id").isNotNull() & (fold(F.col("label_id"), folds) != held_out))
@@ -87,7 +88,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     sample = sample_rows(taught, "label", totals, per_class, F.col("label_id")).distinct() if totals else taught.limit(0)
     texts = doc_text(docs)
     # the sample is about 2 * per_class ids
-    return texts.join(F.broadcast(sample), texts.doc_id == sample.label_id).select("doc_id", "text", "label"), totals
+    joined = texts.join(F.broadcast(sample), texts.doc_id == sample.label_id).select("doc_id", "text", "label")
+    one = F.min_by("text", F.sha2(F.col("text").cast("binary"), 256))
+    return joined.groupBy("doc_id", "label").agg(one.alias("text")).select("doc_id", "text", "label"), totals
 
 
 def same(left: Column, right: Column) -> Column:

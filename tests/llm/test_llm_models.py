@@ -23,6 +23,17 @@ def test_fold_matches_crc32(spark):
     assert got == [*[common.fold_of(i, 4) for i in ids], -1]
 
 
+def test_labelled_sample_has_a_row_for_each_id_and_label(spark):
+    """An id that holds many of the rows is one row of the sample, so its size is bounded by the labels."""
+    docs = spark.range(300).selectExpr("if(id < 200, 1, id) AS doc_id", "concat('text ', id % 7) AS text")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (201, 0), (202, 1), (203, 1), (999, 1)], "doc_id long, toxic int")
+    rows, _ = common.labelled_sample(docs, labels, "toxic", 100, 4, 9)
+    got = rows.collect()
+    assert sorted((r.doc_id, r.label) for r in got) == [(1, 0), (1, 1), (201, 0), (202, 1), (203, 1)]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {r.text for r in got if r.doc_id == 1} == {min((f"text {i}" for i in range(7)), key=digest)}
+
+
 # --- language ----------------------------------------------------------------------------------------------------
 
 def ppm_counts(texts):
