@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.names import unused
 from tessera.functions.predicates import trailing_days
@@ -73,8 +74,9 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
                         rows_per_split: int = 1_000_000) -> DataFrame:
     """``PERCENT_RANK() OVER (PARTITION BY p ORDER BY v [DESC])``.
 
-    ``method="window"`` is the plain window: one task sorts a whole partition
-    value.  ``method="histogram"`` is skew-safe for an order column with few
+    ``method="window"`` gives the rows of the plain window without its sort of a
+    whole partition value in one task: it is ``split``, or ``histogram`` for an
+    order column without quantiles (text).  ``method="histogram"`` is skew-safe for an order column with few
     distinct values (counts): it counts rows per
     ``(p, v)`` with a partially aggregated ``groupBy``, runs the window over
     the distinct values only (rank = 1 + rows strictly ahead), and joins the
@@ -86,8 +88,8 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     and join back): materialize an expensive input first.
     """
     if method == "window":
-        w = Window.partitionBy(partition_col).orderBy(_order(order_col, descending))
-        return df.withColumn(name, F.percent_rank().over(w))
+        kind = df.select(order_col).schema[0].dataType
+        method = "split" if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) else "histogram"
     hist = df.groupBy(F.col(partition_col).alias("_p"), F.col(order_col).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
     if method == "split":

@@ -4,6 +4,7 @@ plans combine map-side before any shuffle of the hot key."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.checks import model as M
@@ -103,3 +104,14 @@ def test_percent_rank_split_hot_partition_many_values(spark, skewed):
     assert a == b
     p = plan(percent_rank_within(df, "k", "v", name="r", method="split"))
     assert "percentile_approx" in p
+
+
+def test_percent_rank_window_sorts_no_whole_partition(spark, skewed):
+    df = skewed.selectExpr("k", "if(id % 11 = 0, null, id % 997) AS v", "cast(id % 53 AS string) AS s")
+    for order, kind in (("v", "percentile_approx"), ("s", "sum(_c")):
+        for descending in (True, False):
+            by = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
+            want = df.withColumn("r", F.percent_rank().over(Window.partitionBy("k").orderBy(by)))
+            got = percent_rank_within(df, "k", order, descending, name="r", method="window")
+            assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        assert "percent_rank(" not in plan(got) and kind in plan(got)
