@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.decontamination import op7_query
 from tessera.llm.exact_dedup import OP1_SQL, op1_query
 from tessera.llm.langid import op2_query
+from tessera.llm.minhash import OP13_SQL, op13_query
 from tessera.llm.packing import op8_query
 from tessera.llm.pii import op10_query
 from tessera.llm.planes import op3_query
@@ -31,10 +32,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_query,
         "op9_quality": op9_query,
         "op10_personal_data": op10_query,
+        "op13_minhash_near_dedup": op13_query,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def llm_oracle() -> dict[str, str]:
-    found = {"op1_exact_dedup": OP1_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    found = {"op1_exact_dedup": OP1_SQL, "op13_minhash_near_dedup": OP13_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in found.items() if v is not None}
