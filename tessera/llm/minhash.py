@@ -8,9 +8,13 @@ similarity, and pairs that the estimate lets pass are verified on the full sets.
 
 Lists are short where it matters: two sketches that overlap in ``o`` of ``s``
 values share one of the first ``s - o + 1`` in any order of all values, so only
-those, the rarest first, are listed.  A passage that a third of all documents
-share is among them only in documents that consist of it.  A list is worked off
-by hubs: every other member is compared with a few of them, members that are
+those, the rarest first, are listed.  That is done twice: over the small sketches
+of all classes, and over sketches of ``REFINED`` values of the classes that still
+share a list, where most sets are whole and the prefix is that of the limit.  A
+passage that a third of all documents share is then listed only for documents
+that hold little else.  A list is worked off
+by hubs: every other member is compared with a few of them where sizes and the
+values that a set has for itself allow a link, members that are
 linked by then need no further comparison, and hubs leave the list; the number
 of hubs grows until all members of every list are linked or compared.  So a
 group of near copies costs about one comparison a member, never one a pair, and
@@ -42,6 +46,8 @@ from tessera.llm.common import doc_text, read_table, same, slices, write_stage
 from tessera.llm.graph import components
 
 SHINGLE, PERCENT, SKETCH = 5, 85, 64
+#: Values of the second sketch, of the classes that the first does not rule out.
+REFINED = 512
 #: Hubs of a list in the first round, and by what their number grows.
 MORE_HUBS = 8
 #: Ids that are broadcast to pick texts; with more of them the texts are shuffled.
@@ -99,7 +105,10 @@ def least_overlap(k: int, percent: int) -> int:
 
 
 def _listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """v, cls: the inverted lists of the values that two linked classes cannot both lack."""
+    """v, cls, n, own: the inverted lists of the values that two linked classes cannot both lack.
+
+    ``own`` counts the values of a set that no other class has; 0 where the sketch is not the whole set.
+    """
     values = classes.select("cls", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1").select(F.col("v").alias("w"), "df")
     found = values.join(shared, F.col("v") == F.col("w")).groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("found"))
@@ -109,7 +118,15 @@ def _listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     # values that no other class has come first in the order and fill a part of the prefix
     size = F.size("sketch") - overlap + 1 - (F.size("sketch") - F.size("found"))
     firsts = classes.join(found, F.col("cls") == F.col("c")).filter(size > 0)
-    return firsts.select("cls", F.explode(F.slice("found", F.lit(1), size.cast("int"))["v"]).alias("v"))
+    own = F.when(F.size("sketch") == F.col("n"), F.col("n") - F.size("found")).otherwise(0).alias("own")
+    return firsts.select("cls", "n", own, F.explode(F.slice("found", F.lit(1), size.cast("int"))["v"]).alias("v"))
+
+
+def _can_link(percent: int) -> Column:
+    """What sizes and own values allow: neither side's own values are in the intersection, both are in the union."""
+    both = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
+    either = F.greatest(F.col("n") + F.col("hub_own"), F.col("hub_n") + F.col("own"))
+    return 100 * both >= percent * either
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -160,31 +177,35 @@ def _linked(percent: int) -> Column:
 
 def class_links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, k: int = SKETCH) -> DataFrame | None:
     """``u``, ``v``: verified links between classes that connect all linked ones; None if no two share a value."""
-    open_ = write_stage(_listed(classes, k, percent), "lists").withColumn("root", F.col("cls"))
-    wanted = classes.join(open_.select(F.col("cls").alias("c")).distinct(), F.col("cls") == F.col("c"), "left_semi")
-    wanted = write_stage(wanted, "listed-classes")
-    full: DataFrame | None = None
+    first = write_stage(_listed(classes, k, percent), "first-lists")
+    shared = first.groupBy("v").agg(F.count("*").alias("members")).filter("members > 1").select(F.col("v").alias("w"))
+    met = first.join(shared, F.col("v") == F.col("w"), "left_semi").select(F.col("cls").alias("c")).distinct()
+    wanted = write_stage(classes.join(met, F.col("cls") == F.col("c"), "left_semi"), "listed-classes")
+    if wanted.isEmpty():
+        return None
+    full = _full_sets(docs, wanted.select("cls", "doc_id", "digest"), shingle)
+    refined = full.select("cls", F.size("shingles").alias("n"), F.slice("shingles", 1, max(k, REFINED)).alias("sketch"))
+    open_ = write_stage(_listed(refined, max(k, REFINED), percent), "lists").withColumn("root", F.col("cls"))
     links: DataFrame | None = None
     refused: DataFrame | None = None
+    comps: DataFrame | None = None
     hubs_of = 1
     while True:
         sides = open_.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(F.col("v").alias("w"))
         open_ = write_stage(open_.join(sides, F.col("v") == F.col("w"), "left_semi"), "open-lists")
         if open_.isEmpty():
             return links
-        if full is None:
-            full = _full_sets(docs, wanted.select("cls", "doc_id", "digest"), shingle)
-        hubs = open_.groupBy("v", F.pmod(F.xxhash64("cls"), F.lit(hubs_of)).alias("share")).agg(F.min("cls").alias("hub"))
-        hubs = write_stage(hubs.select(F.col("v").alias("w"), "hub"), "hubs")
-        roots = open_.select(F.col("v").alias("x"), F.col("cls").alias("y"), F.col("root").alias("hub_root"))
-        rooted = hubs.join(roots, (F.col("w") == F.col("x")) & (F.col("hub") == F.col("y"))).select("w", "hub", "hub_root")
-        pairs = open_.join(rooted, (F.col("v") == F.col("w")) & (F.col("root") != F.col("hub_root")))
+        # the least own values first: what the others of a group were copied from
+        share = F.pmod(F.xxhash64("cls"), F.lit(hubs_of)).alias("share")
+        hubs = open_.groupBy("v", share).agg(F.min(F.struct("own", "cls", "n", "root")).alias("hub"))
+        hubs = write_stage(hubs.select(F.col("v").alias("w"), F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"),
+                                       F.col("hub.own").alias("hub_own"), F.col("hub.root").alias("hub_root")), "hubs")
+        pairs = open_.join(hubs, (F.col("v") == F.col("w")) & (F.col("root") != F.col("hub_root")) & _can_link(percent))
         pairs = pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
         if refused is not None:
             pairs = pairs.join(refused.select(F.col("a").alias("ra"), F.col("b").alias("rb")),
                                (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb")), "left_anti")
-        near_size = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-        likely = _with_both(pairs, wanted, "n", "sketch").filter(near_size & _may_link(k, percent)).select("a", "b")
+        likely = _with_both(pairs, wanted, "sketch").filter(_may_link(k, percent)).select("a", "b")
         likely = write_stage(likely, "likely-pairs")
         told = write_stage(_with_both(likely, full, "shingles").select("a", "b", _linked(percent).alias("linked")), "told-pairs")
         now = told.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -192,9 +213,10 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, per
         no = told.filter("not linked").select("a", "b")
         refused = no if refused is None else refused.unionByName(no)
         # hubs have met all members of their list
-        rest = open_.drop("root").join(hubs, (F.col("v") == F.col("w")) & (F.col("cls") == F.col("hub")), "left_anti")
-        comps = write_stage(components(links), "components")
-        open_ = rest.join(comps, F.col("cls") == F.col("node"), "left").select("v", "cls", F.coalesce("root", "cls").alias("root"))
+        rest = open_.drop("root").join(hubs.select("w", "hub"), (F.col("v") == F.col("w")) & (F.col("cls") == F.col("hub")), "left_anti")
+        if comps is None or not now.isEmpty():
+            comps = write_stage(components(links), "components")
+        open_ = rest.join(comps, F.col("cls") == F.col("node"), "left").select("v", "cls", "n", "own", F.coalesce("root", "cls").alias("root"))
         hubs_of *= MORE_HUBS
 
 
