@@ -185,7 +185,9 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, per
         return None
     full = _full_sets(docs, wanted.select("cls", "doc_id", "digest"), shingle)
     refined = full.select("cls", F.size("shingles").alias("n"), F.slice("shingles", 1, max(k, REFINED)).alias("sketch"))
-    open_ = write_stage(_listed(refined, max(k, REFINED), percent), "lists").withColumn("root", F.col("cls"))
+    open_ = write_stage(_listed(refined, max(k, REFINED), percent), "lists")
+    lists_of = write_stage(open_.groupBy(F.col("cls").alias("of")).agg(F.collect_list("v").alias("lists")), "lists-of-classes")
+    open_ = open_.withColumn("root", F.col("cls"))
     links: DataFrame | None = None
     refused: DataFrame | None = None
     comps: DataFrame | None = None
@@ -200,7 +202,14 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, per
         hubs = open_.groupBy("v", share).agg(F.min(F.struct("own", "cls", "n", "root")).alias("hub"))
         hubs = write_stage(hubs.select(F.col("v").alias("w"), F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"),
                                        F.col("hub.own").alias("hub_own"), F.col("hub.root").alias("hub_root")), "hubs")
-        pairs = open_.join(hubs, (F.col("v") == F.col("w")) & (F.col("root") != F.col("hub_root")) & _can_link(percent))
+        meet = (F.col("v") == F.col("w")) & (F.col("root") != F.col("hub_root")) & _can_link(percent)
+        if hubs_of == 1:
+            pairs = open_.join(hubs, meet)
+        else:
+            # a pair is made by the first of the lists that both are in; that one stays open until one of them is its hub
+            members = open_.join(lists_of, F.col("cls") == F.col("of"))
+            known = hubs.join(lists_of.select(F.col("of").alias("hub_of"), F.col("lists").alias("hub_lists")), F.col("hub") == F.col("hub_of"))
+            pairs = members.join(known, meet & (F.col("v") == F.array_min(F.array_intersect("lists", "hub_lists"))))
         pairs = pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
         if refused is not None:
             pairs = pairs.join(refused.select(F.col("a").alias("ra"), F.col("b").alias("rb")),
