@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import doc_text, fresh, ids_crc32, slices, write_stage
-from tessera.llm.tokens import encode
+from tessera.llm.tokens import encode, release
 
 CAPACITY, END_ID = 2048, 0
 VOCABULARY = "byte_bpe_50k.json"
@@ -67,6 +67,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, e
                 out.append(pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(out, names)
+        release(path)
 
     return texts.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import doc_text, slices, write_stage
-from tessera.llm.tokens import encode
+from tessera.llm.tokens import encode, release
 from tessera.sources.sinks import scratch_path
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
@@ -193,6 +193,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         if writer is not None:
             size = writer.close()
             out.close()
+            release(path)
             row = [[f"{folder}/{name}"], [first[0]], [first[1]], [len(writer.docs)], [writer.n_ids], [size]]
             types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)],

@@ -4,7 +4,8 @@ Both vocabularies in use split a text at white space, and between letters and
 punctuation, before any merge, so a text's ids are the ids of its segments in a
 row.  Segments repeat: each worker keeps a bounded table of their ids and asks
 the tokenizer only for new ones.  Vocabularies without a known rule encode whole
-texts.
+texts, and so is a text that holds the string of a special token, which is cut out
+before anything else.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ LATIN = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 #: A run of letters before white space, ASCII punctuation (the apostrophe apart) or the end is a segment.
 _LETTERS = rf"[{LATIN}]++(?![^{WHITE_SPACE}!-&(-/:-@\[-`{{-~])"
 #: Segments of a generation that a worker remembers, and the longest of them in characters.  When a generation is
-#: full it becomes the old one, from which segments that are met again are taken over; the one before goes.
-KEPT_SEGMENTS, KEPT_LENGTH = 700_000, 40
+#: full it becomes the old one, from which segments that are met again are taken over; the one before goes.  A
+#: generation is about 50 MB; only one outlives a task, as workers are used again by other stages.
+KEPT_SEGMENTS, KEPT_LENGTH = 300_000, 40
 #: Segments encoded in one call, with a separator between them.
 JOINED = 512
 
@@ -37,7 +39,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -85,6 +87,12 @@ class SegmentEncoder(Encoder):
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_SEGMENTS:
             self.old, self.kept = self.kept, {}
+        whole = [i for i, text in enumerate(texts) if any(s in text for s in self.special)]
+        if whole:
+            out = self.encode([text for i, text in enumerate(texts) if i not in set(whole)])
+            for i, ids in zip(whole, self._ask([texts[i] for i in whole]), strict=True):
+                out.insert(i, ids)
+            return out
         rows = [self.cut(text) for text in texts]
         new = set(chain.from_iterable(rows)).difference(self.kept)
         if self.old:
@@ -132,6 +140,12 @@ def encoder(path: str) -> Encoder:
     return _made[path]
 
 
+def release(path: str) -> None:
+    """Ends a task: the older generation of the worker's encoder goes."""
+    if path in _made:
+        _made[path].old = {}
+
+
 def encode(path: str, texts: list[str], end_id: int) -> list[np.ndarray]:
     """The ids of each text, followed by ``end_id``."""
     end = array("I", [end_id]).tobytes()

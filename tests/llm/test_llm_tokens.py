@@ -21,7 +21,6 @@ PIECES = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", " ", "　", "a", "Bcd
 
 def direct(name, text, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -30,7 +29,6 @@ def test_segments_give_the_ids_of_whole_texts(name):
     random.seed(3)
     texts = ["".join(random.choice(PIECES) for _ in range(random.randint(0, 30))) for _ in range(1500)] + ["ab" * 5000]
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     want = [[*e.ids, 7] for e in t.encode_batch(texts, add_special_tokens=False)]
     assert [ids.tolist() for ids in encode(public_tokenizers.path(name), texts, 7)] == want
 
@@ -54,6 +52,14 @@ def test_plane_file_round_trip(n_planes, block):
         assert reader.document(k).tolist() == docs[k][1].tolist()
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_tokens_are_encoded_as_the_tokenizer_does(name):
+    texts = ["a b", "a <|endoftext|> b", "", "<|endoftext|>", "x<|ENDOFTEXT|>", "<|startoftext|><|endoftext|> Z", "c d <|endof text|>"]
+    got = [ids.tolist() for ids in encode(public_tokenizers.path(name), texts, 7)]
+    assert got == [direct(name, text, 7) for text in texts]
+    assert len(got[1]) <= 5 and len(got[4]) > 4
+
+
 def test_planes_query(spark):
     at, want = 0, []
     for r in sorted(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()):
