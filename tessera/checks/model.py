@@ -38,6 +38,7 @@ ROW = "row"            # violation condition counted in the fused aggregate
 EMPTY = "empty"        # 1 if the input has no rows
 DUPLICATES = "duplicates"  # distinct full-row values that repeat
 UNIQUE = "unique"      # COUNT(c) - COUNT(DISTINCT c)
+REFERENCE = "reference"  # non-null values that a reference table lacks
 
 RESULT_SCHEMA = StructType([
     StructField("position", IntegerType(), False),
@@ -62,6 +63,7 @@ class Check:
     condition: str | None = None       # Spark SQL boolean: TRUE = violating row
     needs_numeric: bool = False        # type gate applied before fusion
     columns: tuple[str, ...] = field(default_factory=tuple)  # columns the check reads
+    reference: tuple[str, str] | None = None  # table or view, column
 
     def __post_init__(self):
         if self.test_type not in TEST_TYPES:
@@ -151,6 +153,12 @@ def accepted_values(column: str, values: list) -> Check:
                  condition=f"{q(column)} IS NOT NULL{outside}", columns=(column,))
 
 
+def accepted_from(column: str, table: str, table_column: str | None = None) -> Check:
+    """E4 with a reference table (a table or view of any size): non-null values that it lacks; NULLs in it accept nothing."""
+    return Check(f"{column}__accepted_from__{table}", column, "format", f"'{column}' should be one of the values of '{table}'",
+                 kind=REFERENCE, columns=(column,), reference=(table, table_column or column))
+
+
 def integral(column: str) -> Check:
     """E5: a count column should hold integers.
 

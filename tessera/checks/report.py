@@ -42,6 +42,10 @@ def check_sql(check: m.Check, source: str, columns: list[str] | None = None, con
         cols = ", ".join(m.q(c) for c in (columns or []))
         return (f"SELECT COUNT(*) AS failing_rows FROM (SELECT {cols}, COUNT(*) AS _cnt "
                 f"FROM {source} GROUP BY {cols} HAVING COUNT(*) > 1)")
+    if check.kind == m.REFERENCE:
+        c, (table, known) = m.q(check.column), check.reference
+        return (f"SELECT COALESCE(SUM(n), 0) AS failing_rows FROM (SELECT {c} AS v, COUNT(*) AS n FROM {source} WHERE {c} IS NOT NULL GROUP BY {c}) "
+                f"LEFT ANTI JOIN (SELECT {m.q(known)} AS known FROM {table}) ON v = known")
     raise ValueError(check.kind)
 
 

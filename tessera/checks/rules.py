@@ -2,9 +2,10 @@
 
 Rules look at the analysed schema of any DataFrame instead of SQL text:
 column names, ``StructField.nullable`` (a ``coalesce(x, literal)`` column is
-reported non-nullable, so it gets no NOT NULL check) and the nullable-side
-metadata written by ``left_join_tagged``.  Everything here runs on the driver
-over the schema only; no data is touched.
+reported non-nullable, so it gets no NOT NULL check), the nullable-side
+metadata written by ``left_join_tagged``, and the outer joins of the analysed
+query, so that SQL text is warned of like a DataFrame.  Everything here runs on
+the driver over the schema and the plan only; no data is touched.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import re
 from pyspark.sql import DataFrame
 
 from tessera.checks import model as m
-from tessera.operators.joins import NULLABLE_SIDE_KEY
+from tessera.operators.joins import NULLABLE_SIDE_KEY, nullable_side_columns
 
 # --- fixed values -----------------------------------------------------------
 # Name patterns (applied to the lower-cased column name).
@@ -62,13 +63,14 @@ def suggest_checks(df: DataFrame) -> list[m.Check]:
     dupes = sorted({n for n in names if names.count(n) > 1})
     if dupes:
         raise ValueError(f"ambiguous output column names: {dupes}")
+    from_join = nullable_side_columns(df)
     checks: list[m.Check] = [m.row_count_positive(), m.no_duplicate_rows()]
     for f in df.schema.fields:
         lower = f.name.lower()
         reason = not_null_reason(f.name)
         # A defaulted (non-nullable) column cannot be NULL -> no NOT NULL check.
         if reason is not None and f.nullable:
-            if (f.metadata or {}).get(NULLABLE_SIDE_KEY):  # D17
+            if (f.metadata or {}).get(NULLABLE_SIDE_KEY) or f.name in from_join:  # D17
                 reason += LEFT_JOIN_SUFFIX
             checks.append(m.not_null(f.name, reason))
         if re.search(ID_PATTERN, lower):

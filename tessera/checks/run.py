@@ -5,11 +5,12 @@
 * every row-level check (NOT NULL, formats, ranges, cross-column, ...) and the
   empty-input check become ``count_if`` aggregates of **one** ``df.agg`` -
   one scan of the source, one tiny shuffle, whatever the number of checks;
-* uniqueness checks are one ``groupBy(column).count()`` pass per column
-  (partially aggregated, reading a single column), never several
+* all uniqueness checks together are one pass over stacked (column, hash)
+  pairs, and a second one over the values whose hash repeats, never several
   ``COUNT(DISTINCT)`` in one select (which would ``Expand`` every row);
-* the duplicate-row check counts 96-bit row hashes first; full rows are
-  shuffled once, and only if some hash repeats;
+* the duplicate-row check groups 64-bit row hashes first; only rows whose hash
+  may repeat are shuffled whole;
+* accepted values of a reference table are an anti-join of partial counts;
 * grouped passes are independent jobs submitted concurrently.
 
 Error isolation: every check is analysed on its own before anything runs (an
@@ -26,10 +27,10 @@ from pyspark.errors import (AnalysisException, ArithmeticException, ArrayIndexOu
                             IllegalArgumentException, NumberFormatException, SparkRuntimeException)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DayTimeIntervalType, DoubleType, FloatType, MapType, NumericType,
-                               StructType, YearMonthIntervalType)
+from pyspark.sql.types import DayTimeIntervalType, NumericType, YearMonthIntervalType
 
 from tessera.checks import model as m
+from tessera.operators.duplicates import excess_copies_of, stackable, suspect_rows
 from tessera.operators.rollups import excess_copies
 
 
@@ -87,33 +88,22 @@ def validate_checks(df: DataFrame, checks: list[m.Check]) -> dict[int, str]:
     return errors
 
 
-def _normalized(c, dt):
-    if isinstance(dt, (FloatType, DoubleType)):
-        return (F.when(F.isnan(c), F.lit(float("nan")).cast(dt))
-                .when(c == F.lit(0.0), F.lit(0.0).cast(dt)).otherwise(c))
-    return c
-
-
 def count_duplicate_rows(df: DataFrame, strategy: str = "hashed") -> int:
     """Number of distinct full-row values that occur more than once.
 
-    ``direct``: one grouping by all columns.  ``hashed`` (default): count
-    ``(xxhash64, murmur3)`` of the row first, a shuffle of 12 bytes and a count
-    per row; without a repeated hash there is no duplicate and the work ends,
-    else the direct grouping gives the exact number.  Full rows are shuffled
-    once at most, partially aggregated.  NULL equals NULL in both (grouping
-    semantics).  Column names of the input are never used for computed columns.
+    ``direct``: one grouping by all columns.  ``hashed`` (default): hashes of
+    the rows are grouped first, and only rows whose hash may repeat travel to the
+    exact grouping (:mod:`tessera.operators.duplicates`).  NULL equals NULL in
+    both (grouping semantics).  Column names of the input are never used for
+    computed columns.
     """
     fields = df.schema.fields
     names = [f"c{i}" for i in range(len(fields))]
     rows = df.toDF(*names)
-    # Grouping treats -0.0 = 0.0 and every NaN as equal; a row hash only does
-    # after normalising.  Nested types (maps cannot be hashed at all) group directly.
-    hashable = all(not isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in fields)
-    if strategy == "hashed" and hashable:
-        keyed = [_normalized(F.col(n), f.dataType) for n, f in zip(names, fields, strict=True)]
-        hashes = rows.select(F.xxhash64(*keyed).alias("h1"), F.hash(*keyed).alias("h2"))
-        if hashes.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    # nested types (maps cannot be hashed at all) group directly
+    if strategy == "hashed" and all(stackable(f.dataType) for f in fields):
+        rows = suspect_rows(rows)
+        if rows is None:
             return 0
     return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
 
@@ -150,9 +140,24 @@ def _run_grouped(df: DataFrame, check: m.Check, duplicates: str) -> int:
         return int(excess_copies(df, check.column).first()["failing_rows"])
     if check.kind == m.DUPLICATES:
         return int(count_duplicate_rows(df, duplicates))
+    if check.kind == m.REFERENCE:
+        return not_in_reference(df, check)
     raise ValueError(check.kind)
 
 
+def not_in_reference(df: DataFrame, check: m.Check) -> int:
+    """E4 against a table: rows whose value is not NULL and not in it.
+
+    Values are counted before they meet the table, so a value that a third of
+    all rows hold is one row a task; the planner chooses the join by size.
+    """
+    table, column = check.reference
+    known = df.sparkSession.table(table).select(F.col(m.q(column)).alias("known"))
+    counts = df.select(F.col(m.q(check.column)).alias("value")).filter("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    outside = counts.join(known, F.col("value") == F.col("known"), "left_anti")
+    return int(outside.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
+
+
 def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "hashed",
                max_parallel: int = 4, materialize: bool = False, persist: bool = False) -> DataFrame:
     """Run ``checks`` on ``df``; returns the results DataFrame (RESULT_SCHEMA).
@@ -218,8 +223,21 @@ def _run_checks(df: DataFrame, checks: list[m.Check], duplicates: str, max_paral
         except Exception as exc:
             return i, (None, _first_line(exc))
 
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    together = [(i, c) for i, c in grouped if c.kind == m.UNIQUE and c.column in kinds and stackable(kinds[c.column])]
+    together = together if len(together) > 1 else []
+
+    def run_together() -> list[tuple[int, tuple[int | None, str | None]]]:
+        try:
+            found = excess_copies_of(df, list(dict.fromkeys(c.column for _, c in together)))
+            return [(i, (found[c.column], None)) for i, c in together]
+        except Exception:  # a check the data rejects: each one alone
+            return [run_one_grouped(it) for it in together]
+
+    alone = [it for it in grouped if it not in together]
     pool = ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(grouped)))) if grouped else None
-    futures = [pool.submit(run_one_grouped, it) for it in grouped] if pool else []
+    futures = [pool.submit(run_one_grouped, it) for it in alone] if pool else []
+    stacked = pool.submit(run_together) if together else None
     try:
         if fused:
             try:
@@ -236,6 +254,7 @@ def _run_checks(df: DataFrame, checks: list[m.Check], duplicates: str, max_paral
         for fut in futures:
             i, res = fut.result()
             outcome[i] = res
+        outcome.update(stacked.result() if stacked else [])
     finally:
         if pool:
             pool.shutdown(wait=True)

@@ -9,13 +9,13 @@ with one partially aggregated ``groupBy(candidate).count()`` pass each.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tessera.functions.names import q
+from tessera.operators.grain import minimal_keys
 
 
 def _orderable(dt) -> bool:
@@ -111,22 +111,9 @@ def profile_with_samples(df: DataFrame, k: int = 3, rsd: float = 0.05) -> DataFr
     return prof.join(s, "column_name", "left").orderBy("position")
 
 
-def guess_grain(df: DataFrame, max_width: int = 3, rsd: float = 0.02) -> DataFrame:
+def guess_grain(df: DataFrame, max_width: int = 3) -> DataFrame:
     """All minimal keys of up to ``max_width`` columns, one row each (column ``candidate``, as ``grain_candidates``).
 
-    The search is complete up to that width: for each width one aggregate
-    estimates the distinct combinations of every candidate without a smaller
-    key in it; those whose estimate is within four standard errors of the row
-    count are verified by an exact grouped pass.
+    Exact and complete up to that width (:mod:`tessera.operators.grain`).
     """
-    names = [f.name for f in df.schema.fields if _orderable(f.dataType)]
-    n = df.count()
-    keys: list[tuple[str, ...]] = []
-    for width in range(1, max_width + 1):
-        open_ = [c for c in combinations(names, width) if not any(set(k) <= set(c) for k in keys)]
-        if not open_ or not n:
-            break
-        est = df.agg(*[F.approx_count_distinct(F.struct(*[F.col(q(x)) for x in c]), rsd).alias(f"d{i}") for i, c in enumerate(open_)]).first()
-        likely = [list(c) for i, c in enumerate(open_) if est[i] >= (1 - 4 * rsd) * n]
-        keys += [tuple(c) for c, r in zip(likely, grain_candidates(df, likely).collect(), strict=True) if r["is_unique"]]
-    return grain_candidates(df, [list(k) for k in keys])
+    return grain_candidates(df, minimal_keys(df, max_width))

@@ -75,3 +75,27 @@ def approx_distinct_with_check(df: DataFrame, key: str, column: str, rsd: float
             .select(key, "exact_distinct",
                     (F.abs(F.col("approx_distinct") - F.col("exact_distinct"))
                      <= F.lit(tolerance) * F.col("exact_distinct")).alias("within_tolerance")))
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], ts: str, column: str, lg_k: int = 12, day: str = "day") -> DataFrame:
+    """A4 to be stored: per group and day the row count and a mergeable HLL sketch of ``column`` (at most 2^lg_k bytes).
+
+    A daily job appends its day; any window's distinct count then comes from the
+    rollup (:func:`distinct_in_window`), the log is not read again.
+    """
+    from tessera.functions.scalars import to_day
+
+    return df.groupBy(*[F.col(q(k)) for k in keys], to_day(ts).alias(day)).agg(
+        F.count(F.lit(1)).alias("row_count"), F.hll_sketch_agg(F.col(q(column)), F.lit(lg_k)).alias("sketch"))
+
+
+def distinct_in_window(rollup: DataFrame, keys: list[str], start=None, end=None, day: str = "day",
+                       name: str = "approx_distinct") -> DataFrame:
+    """Row count and approximate distinct count per group over the days from ``start`` to before ``end``, from sketches alone."""
+    if start is not None:
+        rollup = rollup.filter(F.col(day) >= F.lit(start).cast("date"))
+    if end is not None:
+        rollup = rollup.filter(F.col(day) < F.lit(end).cast("date"))
+    # an empty sketch (all values NULL that day) merges like any other
+    return rollup.groupBy(*[F.col(q(k)) for k in keys]).agg(
+        F.sum("row_count").alias("row_count"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))

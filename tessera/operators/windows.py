@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.names import unused
 from tessera.functions.predicates import trailing_days
@@ -23,7 +22,9 @@ def topn_per_group(df: DataFrame, group_cols: list[str | Column], order_col: str
     Catalyst plans this as a partial ``WindowGroupLimit`` before the shuffle
     and a final one after it, so a hot group ships at most ``n`` rows per map
     task.  ``tie_breaker`` makes the choice among equal values deterministic.
+    Where the input has a column ``rn_name``, the number gets the next free name.
     """
+    rn_name = unused(rn_name, df.columns)
     order = [_order(order_col, descending)]
     if tie_breaker is not None:
         order.append(F.col(tie_breaker).asc())
@@ -50,13 +51,15 @@ def period_over_period(daily: DataFrame, metrics: list[str], last_n: int = 3, da
     w = Window.orderBy(F.col(day).asc())
     everything = Window.partitionBy()
     cols = [F.col(day)] + [F.col(m) for m in metrics]
+    prev = {m: unused(f"_prev_{m}", [day, *metrics]) for m in metrics}
+    max_day = unused("_max_day", [day, *metrics])
     with_prev = daily.select(*cols,
-                             *[F.lag(m).over(w).alias(f"_prev_{m}") for m in metrics],
-                             F.max(day).over(everything).alias("_max_day"))
+                             *[F.lag(m).over(w).alias(prev[m]) for m in metrics],
+                             F.max(day).over(everything).alias(max_day))
     out = [F.col(day)] + [F.col(m) for m in metrics]
-    out += [change(m, f"_prev_{m}", signed).alias(f"{prefix_abs}{m}") for m in metrics]
-    out += [pct_change(m, f"_prev_{m}").alias(f"{prefix_pct}{m}") for m in metrics]
-    return (with_prev.filter(F.col(day) > F.date_sub(F.col("_max_day"), last_n))
+    out += [change(m, prev[m], signed).alias(f"{prefix_abs}{m}") for m in metrics]
+    out += [pct_change(m, prev[m]).alias(f"{prefix_pct}{m}") for m in metrics]
+    return (with_prev.filter(F.col(day) > F.date_sub(F.col(max_day), last_n))
             .select(*out))
 
 
@@ -75,25 +78,23 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     """``PERCENT_RANK() OVER (PARTITION BY p ORDER BY v [DESC])``.
 
     ``method="window"`` gives the rows of the plain window without its sort of a
-    whole partition value in one task: it is ``split``, or ``histogram`` for an
-    order column without quantiles (text).  ``method="histogram"`` is skew-safe for an order column with few
+    whole partition value in one task: it is ``split``.  ``method="histogram"`` is skew-safe for an order column with few
     distinct values (counts): it counts rows per
     ``(p, v)`` with a partially aggregated ``groupBy``, runs the window over
     the distinct values only (rank = 1 + rows strictly ahead), and joins the
     rank back on ``(p, v)``.  A hot partition value then costs one row per
     distinct order value instead of one row per input row.  ``method="split"``
-    (default) also range-splits each partition's distinct values by approximate
-    quantiles (numeric / date / timestamp order columns) into as many parts as
+    (default) also range-splits each partition's distinct values, of any
+    orderable type, at values of a hash-chosen sample into as many parts as
     ``rows_per_split`` asks for, whatever their number.  ``df`` is read twice (histogram
     and join back): materialize an expensive input first.
     """
     if method == "window":
-        kind = df.select(order_col).schema[0].dataType
-        method = "split" if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) else "histogram"
+        method = "split"
     hist = df.groupBy(F.col(partition_col).alias("_p"), F.col(order_col).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
     if method == "split":
-        return _join_ranks(df, partition_col, order_col, _split_ranks(hist, descending, name, _n_splits(hist, rows_per_split)), name)
+        return _join_ranks(df, partition_col, order_col, _split_ranks(hist, descending, name, *_n_splits(hist, rows_per_split)), name)
     ahead = (Window.partitionBy("_p").orderBy(_order("_v", descending))
              .rowsBetween(Window.unboundedPreceding, -1))
     total = Window.partitionBy("_p")
@@ -114,19 +115,23 @@ def _join_ranks(df: DataFrame, partition_col: str, order_col: str, ranks: DataFr
     return df.join(ranks, cond, "inner").drop(p, v)
 
 
-def _n_splits(hist: DataFrame, rows_per_split: int) -> int:
-    """Parts of the largest partition value, by its number of distinct order values."""
+#: Sampled values for each part of a range split.
+_SAMPLED = 64
+
+
+def _n_splits(hist: DataFrame, rows_per_split: int) -> tuple[int, int]:
+    """Parts of the largest partition value, by its number of distinct order values, and one in how many of these is sampled."""
     largest = hist.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    return max(2, -(-largest // rows_per_split))
+    splits = max(2, -(-largest // rows_per_split))
+    return splits, max(1, largest // (splits * _SAMPLED))
 
 
-def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int,
-                 accuracy: int = 10000) -> DataFrame:
+def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int, sampled: int) -> DataFrame:
     """Exact percent rank from a ``(_p, _v, _c)`` histogram, range-split by value.
 
-    Each partition value gets ``splits - 1`` approximate quantile boundaries
-    (``percentile_approx``, a bounded sketch per group, combined map-side).  A
-    value's bucket is the number of boundaries below it (equal values share a
+    Each partition value gets up to ``splits - 1`` boundaries from a sample of its
+    distinct values (one in ``sampled`` by hash, about 64 a part, of any type that
+    sorts); one without a sampled value is small and stays whole.  A value's bucket is the number of boundaries below it (equal values share a
     bucket; NULL is bucket -1, which is last in descending and first in
     ascending order, like Spark's default NULL ordering).  The rank is then the
     rows of better buckets (window over at most ``splits`` rows per partition)
@@ -134,9 +139,11 @@ def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int,
     so a partition value holding a third of the data is spread over ``splits``
     window tasks instead of one.
     """
-    qs = [i / splits for i in range(1, splits)]
-    bounds = (hist.groupBy(F.col("_p").alias("_bp"))
-              .agg(F.percentile_approx("_v", qs, accuracy).alias("_bounds")))
+    chosen = F.col("_v").isNotNull() & (F.pmod(F.xxhash64("_v"), F.lit(sampled)) == 0)
+    values = hist.groupBy(F.col("_p").alias("_bp")).agg(F.array_sort(F.collect_list(F.when(chosen, F.col("_v")))).alias("_sample"))
+    at = F.sequence(F.lit(1), F.lit(splits - 1))
+    bounds = values.select("_bp", F.when(F.size("_sample") == 0, F.col("_sample")).otherwise(F.transform(
+        at, lambda i: F.element_at("_sample", F.greatest(F.lit(1), F.ceil(i * F.size("_sample") / splits).cast("int"))))).alias("_bounds"))
     bucket = F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(
         F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_v"))))
     bucketed = hist.join(bounds, F.col("_p").eqNullSafe(F.col("_bp"))).select(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.checks import model as M
-from tessera.checks.report import export_checks, summarize
+from tessera.checks.report import append_results, export_checks, summarize, summary_by_run
 from tessera.checks.rules import LEFT_JOIN_SUFFIX, suggest_checks
 from tessera.checks.run import auto_check, run_checks
 from tessera.functions import predicates as P
@@ -23,8 +23,10 @@ from tessera.functions import scalars as S
 from tessera.operators import incremental as INC
 from tessera.operators import profile as PR
 from tessera.operators import rollups as R
+from tessera.operators import snapshots as SN
 from tessera.operators import windows as W
 from tessera.operators.joins import left_join_with_default
+from tessera.operators.wide_sum import wide_sum
 from tessera.plans import reports as RP
 from tessera.sources import derived as D
 from tessera.sources.csv import scan_csv, write_csv
@@ -35,6 +37,14 @@ from tessera.sources.tables import register_views, scan_table
 AS_OF_LINEITEM = "2001-11-05 00:00:00"   # day after the last ship date
 AS_OF_EVENTS = "2024-01-30 12:00:00"     # inside the last event day (partial)
 DL_START, DL_END, DL_MIN = "1996-01-01", "2002-01-01", 2
+USER_ORDER_SQL = """
+WITH active AS (SELECT user_id, email, country_code, created_at FROM lj_users WHERE is_active),
+stats AS (SELECT user_id, COUNT(order_id) AS orders, SUM(amount) AS spent, MAX(created_at) AS newest, MIN(created_at) AS oldest
+          FROM lj_orders GROUP BY user_id)
+SELECT a.user_id, a.email, a.country_code, a.created_at AS user_created_at, COALESCE(s.orders, 0) AS total_orders,
+       COALESCE(s.spent, 0) AS total_spent, s.newest AS last_order_date, s.oldest AS first_order_date,
+       datediff(s.newest, s.oldest) AS order_tenure_days
+FROM active a LEFT JOIN stats s ON a.user_id = s.user_id"""
 RESULT_COLS = ["position", "name", "column", "test_type", "failing_rows", "passed", "status"]
 # ---------------------------------------------------------------------------
 
@@ -382,8 +392,8 @@ def q_grain_candidates(spark, sf):
 
 
 def q_guess_grain(spark, sf):
-    return PR.guess_grain(_t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")).select(
-        "candidate", "distinct_keys")
+    """All columns of lineitem."""
+    return PR.guess_grain(_t(spark, sf, "lineitem"), max_width=3).select("candidate", "distinct_keys")
 
 
 def q_profile_samples(spark, sf):
@@ -391,6 +401,100 @@ def q_profile_samples(spark, sf):
         "column_name", "sample_values")
 
 
+def q_check_left_join_nulls_sql(spark, sf):
+    """C5 as SQL text: which NOT NULL checks carry the left-join warning."""
+    D.users_from_customer(spark, sf).createOrReplaceTempView("lj_users")
+    D.orders_view(spark, sf).createOrReplaceTempView("lj_orders")
+    uos = spark.sql(USER_ORDER_SQL)
+    checks = [c for c in suggest_checks(uos) if c.test_type == "not_null"]
+    warned = [(c.name, c.reason.endswith(LEFT_JOIN_SUFFIX)) for c in checks]
+    told = spark.createDataFrame(warned, "check_name string, left_join_warning boolean")
+    res = run_checks(uos, checks)
+    return res.join(told, res.name == told.check_name).select("name", "failing_rows", "status", "left_join_warning")
+
+
+def q_unnest_rollup_wide(spark, sf):
+    """C1's sum over amounts of up to 70 digits, both signs, as exact text."""
+    li = _t(spark, sf, "lineitem")
+    digits = F.concat(F.col("l_partkey").cast("string"), F.lpad(F.col("l_orderkey").cast("string"), 30, "7"),
+                      F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("."), F.lpad(F.col("l_suppkey").cast("string"), 35, "3"))).otherwise(F.lit("")))
+    amounts = li.select("l_returnflag", F.col("l_linenumber").alias("number"),
+                        F.concat(F.when(F.col("l_orderkey") % 3 == 0, "-").otherwise(F.lit("")), digits).alias("amount"))
+    return wide_sum(amounts, ["l_returnflag", "number"], "amount", name="w_amounts", extra=[F.count(F.lit(1)).alias("w_records")])
+
+
+def q_check_unique_many(spark, sf):
+    """All uniqueness checks of a table in one pass; none or some repeat."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag",
+                                          F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_id"),
+                                          F.when(F.col("l_linenumber") > 1, F.lit(None)).otherwise(F.col("l_orderkey")).alias("first_id"))
+    return _results(run_checks(li, [M.unique(c) for c in li.columns]))
+
+
+def q_check_few_duplicate_rows(spark, sf):
+    """One row in a hundred is there twice."""
+    li = _t(spark, sf, "lineitem")
+    return _results(run_checks(li.unionByName(li.filter(F.col("l_orderkey") % 100 == 0)), [M.no_duplicate_rows()]))
+
+
+def q_approx_distinct_rollup(spark, sf):
+    """Distinct parts of a window from stored daily sketches, with a tolerance flag."""
+    li = _t(spark, sf, "lineitem")
+    path = write_table(R.distinct_sketches(li, ["l_returnflag"], "l_shipdate", "l_partkey"), scratch_path(spark, "sketches"))
+    est = R.distinct_in_window(spark.read.parquet(path), ["l_returnflag"], DL_START, DL_END)
+    exact = li.filter(P.time_range("l_shipdate", DL_START, DL_END)).groupBy(F.col("l_returnflag").alias("flag")).agg(
+        F.count_distinct("l_partkey").alias("exact_distinct"))
+    return est.join(exact, F.col("l_returnflag") == F.col("flag")).select(
+        "l_returnflag", "row_count", "exact_distinct", (F.abs(F.col("approx_distinct") - F.col("exact_distinct")) <= 0.1 * F.col("exact_distinct")).alias("within_tolerance"))
+
+
+def q_download_growth_report_default(spark, sf):
+    """C4 as written: approximate distinct releases, groups of over 1000 downloads (packages are part types here)."""
+    log = D.downloads_by_type(spark, sf)
+    report = RP.download_growth_report(log, DL_START, DL_END)
+    near = F.col("unique_sys_releases").between(9, 11)
+    return report.withColumn("releases_within_tolerance", near).drop("unique_sys_releases")
+
+
+def q_check_accepted_from_table(spark, sf):
+    """Accepted values from another table: parts that exist, customers of a segment, none at all."""
+    _t(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").createOrReplaceTempView("accepted_customers")
+    _t(spark, sf, "part").filter("p_partkey % 10 <> 0").createOrReplaceTempView("accepted_parts")
+    li = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_partkey", F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.col("o_custkey")).alias("o_custkey"), "l_returnflag")
+    return _results(run_checks(li, [M.accepted_from("l_partkey", "accepted_parts", "p_partkey"), M.accepted_from("o_custkey", "accepted_customers", "c_custkey"),
+                                    M.accepted_from("l_returnflag", "accepted_customers", "c_mktsegment"), M.accepted_from("l_partkey", "no_such_table")]))
+
+
+def q_summary_by_run(spark, sf):
+    """Two runs in one history table, the second of which is repeated."""
+    path = scratch_path(spark, "history")
+    uos = materialize(q_user_order_summary(spark, sf), "summary")
+    for run, source in (("run1", uos), ("run2", uos.filter("email LIKE '%@%.%'")), ("run2", uos.filter("email LIKE '%@%.%'"))):
+        append_results(auto_check(source), path, run, "user_order_summary")
+    return summary_by_run(spark.read.parquet(path))
+
+
+def q_incremental_snapshots(spark, sf):
+    """Two merges into a versioned table: keys that change their partition, late rows, a repeated delta."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    start = F.lit("1998-01-01").cast("timestamp_ntz")
+    path = scratch_path(spark, "snapshots")
+    SN.create(o.filter(F.col("o_orderdate") < start), path, ["o_orderkey"], "o_orderdate", "o_orderpriority", slices=16)
+    moved = o.filter((F.col("o_orderdate") < start) & (F.col("o_orderkey") % 50 == 0)).select(
+        "o_orderkey", F.lit("MOVED").alias("o_orderpriority"), (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("o_orderdate"), "o_totalprice")
+    late = o.filter(F.col("o_orderkey") % 70 == 0).withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 9000 DAYS"))
+    SN.merge(o.filter(F.col("o_orderdate") >= start).unionByName(moved), path)
+    SN.merge(moved.unionByName(late), path)
+    return SN.read(spark, path)
+
+
+def q_percent_rank_text(spark, sf):
+    """Percent rank over a text column, range-split."""
+    parts = _t(spark, sf, "part").select("p_partkey", "p_type", "p_name")
+    return W.percent_rank_within(parts, "p_type", "p_name", descending=False, name="pct_rank", rows_per_split=50)
+
+
 def _orders_versions(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     target = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
@@ -493,4 +597,14 @@ def catalog() -> dict[str, Query]:
         "incremental_merge": q_incremental_merge,
         "incremental_merge_partitions": q_incremental_merge_partitions,
         "download_growth_report_nested": q_download_growth_report_nested,
+        "check_left_join_nulls_sql": q_check_left_join_nulls_sql,
+        "unnest_rollup_wide": q_unnest_rollup_wide,
+        "check_unique_many": q_check_unique_many,
+        "check_few_duplicate_rows": q_check_few_duplicate_rows,
+        "approx_distinct_rollup": q_approx_distinct_rollup,
+        "download_growth_report_default": q_download_growth_report_default,
+        "check_accepted_from_table": q_check_accepted_from_table,
+        "summary_by_run": q_summary_by_run,
+        "incremental_snapshots": q_incremental_snapshots,
+        "percent_rank_text": q_percent_rank_text,
     }

@@ -101,6 +101,21 @@ def downloads_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("details"))
 
 
+def downloads_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``file_downloads`` of few, large groups: the part's type as package, one version and environment a country.
+
+    The release is the day of the month's last digit, so that a large group has all ten.
+    """
+    log = downloads_from_lineitem(spark, sf_dir)
+    part = F.coalesce(F.col("details.installer.name"), F.lit("none"))
+    return log.select(
+        "timestamp", F.upper("country_code").alias("country_code"),
+        F.struct(F.concat(F.lit("pkg-"), part).alias("project"), F.lit("1.0").alias("version")).alias("file"),
+        F.struct(F.lit("3.9.1").alias("python"), F.struct(F.lit("pip").alias("name")).alias("installer"),
+                 F.struct(F.lit("Ubuntu").alias("name"), F.lit("22.04").alias("version")).alias("distro"),
+                 F.struct(F.lit("Linux").alias("name"), (F.dayofmonth("timestamp") % 10).cast("string").alias("release")).alias("system")).alias("details"))
+
+
 def users_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``users``: email NULL for HOUSEHOLD, malformed for MACHINERY; country
     code from the market segment (three letters for AUTOMOBILE); inactive when
