@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.names import unused
 from tessera.functions.predicates import trailing_days
@@ -85,7 +86,7 @@ def percent_rank_within(df: DataFrame, partition_col: str, order_col: str, desce
     rank back on ``(p, v)``.  A hot partition value then costs one row per
     distinct order value instead of one row per input row.  ``method="split"``
     (default) also range-splits each partition's distinct values, of any
-    orderable type, at values of a hash-chosen sample into as many parts as
+    orderable type, at quantiles or at values of a hash-chosen sample into as many parts as
     ``rows_per_split`` asks for, whatever their number.  ``df`` is read twice (histogram
     and join back): materialize an expensive input first.
     """
@@ -129,9 +130,11 @@ def _n_splits(hist: DataFrame, rows_per_split: int) -> tuple[int, int]:
 def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int, sampled: int) -> DataFrame:
     """Exact percent rank from a ``(_p, _v, _c)`` histogram, range-split by value.
 
-    Each partition value gets up to ``splits - 1`` boundaries from a sample of its
-    distinct values (one in ``sampled`` by hash, about 64 a part, of any type that
-    sorts); one without a sampled value is small and stays whole.  A value's bucket is the number of boundaries below it (equal values share a
+    Each partition value gets up to ``splits - 1`` boundaries: approximate quantiles
+    (``percentile_approx``, a bounded sketch per group, combined map-side) where the
+    type has them, else values from a sample of its distinct ones (one in
+    ``sampled`` by hash, about 64 a part); one without a sampled value is small and
+    stays whole.  A value's bucket is the number of boundaries below it (equal values share a
     bucket; NULL is bucket -1, which is last in descending and first in
     ascending order, like Spark's default NULL ordering).  The rank is then the
     rows of better buckets (window over at most ``splits`` rows per partition)
@@ -139,11 +142,15 @@ def _split_ranks(hist: DataFrame, descending: bool, name: str, splits: int, samp
     so a partition value holding a third of the data is spread over ``splits``
     window tasks instead of one.
     """
-    chosen = F.col("_v").isNotNull() & (F.pmod(F.xxhash64("_v"), F.lit(sampled)) == 0)
-    values = hist.groupBy(F.col("_p").alias("_bp")).agg(F.array_sort(F.collect_list(F.when(chosen, F.col("_v")))).alias("_sample"))
-    at = F.sequence(F.lit(1), F.lit(splits - 1))
-    bounds = values.select("_bp", F.when(F.size("_sample") == 0, F.col("_sample")).otherwise(F.transform(
-        at, lambda i: F.element_at("_sample", F.greatest(F.lit(1), F.ceil(i * F.size("_sample") / splits).cast("int"))))).alias("_bounds"))
+    if isinstance(hist.schema["_v"].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        cuts = F.percentile_approx("_v", [i / splits for i in range(1, splits)], 10000)
+    else:
+        chosen = F.col("_v").isNotNull() & (F.pmod(F.xxhash64("_v"), F.lit(sampled)) == 0)
+        sample = F.array_sort(F.collect_list(F.when(chosen, F.col("_v"))))
+        at = F.sequence(F.lit(1), F.lit(splits - 1))
+        cuts = F.when(F.size(sample) == 0, sample).otherwise(F.transform(
+            at, lambda i: F.element_at(sample, F.greatest(F.lit(1), F.ceil(i * F.size(sample) / splits).cast("int")))))
+    bounds = hist.groupBy(F.col("_p").alias("_bp")).agg(cuts.alias("_bounds"))
     bucket = F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(
         F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_v"))))
     bucketed = hist.join(bounds, F.col("_p").eqNullSafe(F.col("_bp"))).select(
