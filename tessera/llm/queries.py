@@ -16,7 +16,7 @@ from tessera.llm.pii import op10_query
 from tessera.llm.planes import op3_query
 from tessera.llm.prefix_trie import OP12_SQL, op12_query
 from tessera.llm.quality import op9_query
-from tessera.llm.secrets import op6_query
+from tessera.llm.secrets import op6_incremental_query, op6_query
 from tessera.llm.simhash import op4_query
 from tessera.llm.toxicity import op5_query
 from tessera.llm.variants import OP11_SQL, op11_query
@@ -30,6 +30,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash_near_dedup": op4_query,
         "op5_toxicity": op5_query,
         "op6_secret_scan": op6_query,
+        "secret_scan_incremental": op6_incremental_query,
         "op7_decontamination": op7_query,
         "op8_best_fit_packing": op8_query,
         "op9_quality": op9_query,

@@ -74,3 +74,34 @@ def test_only_unseen_pairs_are_scanned(spark):
     newer = (replace(secrets.RULES[0], version=2), *secrets.RULES[1:])
     assert secrets.scan(more, ledger, newer).filter("rule = 'assign' and version = 2").count() == 3
     assert secrets.scan(more, ledger, newer).count() == 3
+
+
+def test_doubled_ledger_rows_change_nothing(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefgh and AKIA" + "A" * 16), (2, "nothing")], "doc_id long, text string")
+    ledger = write_stage(secrets.scan(docs, secrets.empty_ledger(spark)), "ledger")
+    assert sorted(map(str, secrets.findings(docs, ledger.unionByName(ledger)).collect())) == sorted(map(str, secrets.findings(docs, ledger).collect()))
+
+
+def test_few_unseen_blobs_move_no_text(spark, monkeypatch, capsys):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('token=abcdefgh', id) AS text")
+    path = scratch_path(spark, "ledger")
+    secrets.update_ledger(docs.filter("doc_id >= 20"), path)
+    ledger = spark.read.schema(secrets.LEDGER_SCHEMA).parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = secrets.scan(docs, ledger)
+        new.explain()
+        few = capsys.readouterr().out
+        monkeypatch.setattr(secrets, "BROADCAST_BLOBS", 5)
+        again = secrets.scan(docs, ledger)
+        again.explain()
+        many = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in few and "ShuffledHashJoin" not in few and "ShuffledHashJoin" in many
+    assert new.count() == 20 * len(secrets.RULES) and sorted(map(str, new.collect())) == sorted(map(str, again.collect()))
+
+
+def test_incremental_query_equals_the_full_one(spark):
+    full, parts = secrets.op6_query(spark, SF_SMALL), secrets.op6_incremental_query(spark, SF_SMALL)
+    assert full.columns == parts.columns and sorted(map(str, full.collect())) == sorted(map(str, parts.collect()))
