@@ -5,14 +5,16 @@ numbers.  Document words stream through it; at each word it knows the longest
 match that ends there.  A word is hit when it lies in an occurrence of a window:
 ``window`` consecutive words of an item, or all words of a shorter item.
 
-The automaton grows with the benchmark, never with the corpus.  Its size is
-checked while it is built: a benchmark of over ``max_words`` words is an error,
-so what is broadcast has a fixed bound.
+The automaton grows with the benchmark, never with the corpus, and has a fixed
+bound: a benchmark of more than ``max_words`` words makes several automata, through
+which the texts stream in turn, one at a time in memory, and whose hits are
+united.  The result is that of one automaton at any size.
 
 Words: A-Z is lower-cased, and runs of ASCII letters, digits and characters
 beyond ASCII are words.  Defined results: a null or empty text has no words and
 no hit; an item without words has no window; items of the same text are both
-reported; an empty benchmark leaves every document clean; repeated rows are
+reported, also where their ids are equal, and a null id is reported as an empty
+string; an empty benchmark leaves every document clean; repeated rows are
 judged alike.  Extra columns are ignored by the report and kept by the filter.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import doc_text, read_table, slices
+from tessera.llm.common import doc_text, fresh, read_table, slices, write_stage
 
 WINDOW = 10
-#: Words of all benchmark items together that the driver builds an automaton of.
-MAX_WORDS = 5_000_000
+#: Words of an automaton (about 0.5 KB each), which the driver builds and each worker holds.
+MAX_WORDS = 400_000
 
 _WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 #: Lower-cases A-Z and turns every byte that is no part of a word into a space.
@@ -187,45 +190,121 @@ class SuffixAutomaton:
         return spans, found
 
 
-def build_automaton(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> SuffixAutomaton:
-    """The automaton of all items of ``benchmark`` (item_id, text)."""
-    items, n = [], 0
+def automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> Iterator[SuffixAutomaton]:
+    """Automata of all items of ``benchmark`` (item_id, text), each of about ``max_words`` words; one is held at a time.
+
+    An item that does not fit into one is cut into pieces that share ``window`` - 1 words, so that each of its
+    windows lies in a piece; its pieces count as one item.  Items are (number, id), so that null or repeated ids
+    stay apart.
+    """
+    items: list[tuple[tuple[int, str], list[bytes]]] = []
+    n = 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    for row in rows.toLocalIterator():
-        items.append((str(row["item_id"]), words(row["text"] or "")))
-        n += len(items[-1][1])
-        if n > max_words:
-            raise ValueError(f"the benchmark has over {max_words} words; raise max_words or split it")
-    return SuffixAutomaton(items, window)
+    for k, row in enumerate(rows.toLocalIterator()):
+        sequence = words(row["text"] or "")
+        step = max(1, max_words - window + 1)
+        starts = range(0, max(1, len(sequence) - window + 1), step) if len(sequence) > max_words else (0,)
+        for start in starts:
+            piece = sequence[start:start + step + window - 1] if len(sequence) > max_words else sequence
+            if items and n + len(piece) > max_words:
+                yield SuffixAutomaton(items, window)
+                items, n = [], 0
+            items.append(((k, row["item_id"] or ""), piece))
+            n += len(piece)
+    yield SuffixAutomaton(items, window)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (word positions) of every row."""
-    texts = doc_text(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(build_automaton(benchmark, window, max_words))
-    schema = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL(
-        "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:int,end:int>>").fields])
+def build_automaton(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> SuffixAutomaton:
+    """One automaton of all items, for a benchmark that is known to fit; an error if it does not."""
+    passes = automata(benchmark, window, max_words)
+    first = next(passes)
+    if next(passes, None) is not None:
+        raise ValueError(f"the benchmark has over {max_words} words; raise max_words or go through automata()")
+    return first
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _as_columns(items: list[tuple[list[tuple[int, int]], list[tuple[int, str]]]]) -> list[pa.Array]:
+    spans = [[{"start": a, "end": b} for a, b in s] for s, _ in items]
+    found = [[{"k": k, "name": name} for k, name in f] for _, f in items]
+    return [pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+            pa.array(found, pa.list_(pa.struct([("k", pa.int64()), ("name", pa.string())])))]
+
+
+_SPANS, _FOUND = "spans array<struct<start:int,end:int>>", "found array<struct<k:bigint,name:string>>"
+
+
+def _hits(texts: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
+    """``texts`` (text, others) with the spans and items of one automaton in place of the text."""
+    shared = texts.sparkSession.sparkContext.broadcast(automaton)
+    kept = [c for c in texts.columns if c != "text"]
+    schema = T.StructType([*[texts.schema[c] for c in kept], *T.StructType.fromDDL(f"n_words long, {_SPANS}, {_FOUND}").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        held = shared.value
         for batch in slices(batches):
-            rows = []
+            sizes, rows = [], []
             for text in batch["text"].to_pylist():
                 sequence = words(text)
-                spans, found = automaton.hits(sequence)
-                names = {automaton.items[k] for k in found}
-                n_hit = sum(b - a for a, b in spans)
-                digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
-                rows.append((len(sequence), n_hit, len(names), digest, n_hit > 0, [{"start": a, "end": b} for a, b in spans]))
-            cols = list(zip(*rows, strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(),
-                     pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
-                                             ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
+                spans, found = held.hits(sequence)
+                sizes.append(len(sequence))
+                rows.append((spans, [held.items[k] for k in sorted(found)]))
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(sizes, pa.int64()), *_as_columns(rows)], schema.names)
 
     return texts.mapInArrow(run, schema)
 
 
+def _all_hits(texts: DataFrame, benchmark: DataFrame, window: int, max_words: int) -> DataFrame:
+    """``texts`` (text, others) with n_words and the spans and items of all automata, in any order and perhaps repeated."""
+    passes = automata(benchmark, window, max_words)
+    first, second = next(passes), next(passes, None)
+    if second is None:
+        return _hits(texts, first)
+    number, of = fresh("row"), fresh("of")
+    texts = write_stage(texts.withColumn(number, F.monotonically_increasing_id()), "numbered-texts")
+    given = [c for c in texts.columns if c not in ("text", number)]
+    base = write_stage(_hits(texts, first), "hits")
+    more = None
+    for automaton in chain((second,), passes):
+        some = write_stage(_hits(texts.select(number, "text"), automaton).filter("size(found) > 0").drop("n_words"), "hits")
+        more = some if more is None else more.unionByName(some)
+    # a row has at most as many lists as there are automata
+    more = more.groupBy(F.col(number).alias(of)).agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("found")).alias("f"))
+    none = F.array()
+    return base.join(more, F.col(number) == F.col(of), "left").select(
+        *given, "n_words", F.concat("spans", F.coalesce("s", none)).alias("spans"), F.concat("found", F.coalesce("f", none)).alias("found"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (word positions) of every row."""
+    hits = _all_hits(doc_text(docs), benchmark, window, max_words)
+    schema = T.StructType([hits.schema["doc_id"], *T.StructType.fromDDL(
+        f"n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, {_SPANS}").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows, spans = [], []
+            for met, found in zip(batch["spans"].to_pylist(), batch["found"].to_pylist(), strict=True):
+                united = _united([(s["start"], s["end"]) for s in met])
+                items = {f["k"]: f["name"] for f in found}
+                n_hit = sum(b - a for a, b in united)
+                rows.append((n_hit, len(items), hashlib.sha256(",".join(sorted(items.values())).encode()).hexdigest(), n_hit > 0))
+                spans.append((united, []))
+            cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.bool_()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_words"], *cols, _as_columns(spans)[0]], schema.names)
+
+    return hits.mapInArrow(run, schema)
+
+
 def _word_places(text: str) -> list[tuple[int, int]]:
     """(start, end) of the words of :func:`words`, in characters."""
     out, start = [], -1
@@ -257,7 +336,11 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     hit words are more than ``max_coverage`` of its words goes.  Clean rows are
     unchanged.  All columns stay; ``n_chars``, where there is one, follows the text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(build_automaton(benchmark, window, max_words))
+    passes = automata(benchmark, window, max_words)
+    first = next(passes)
+    if next(passes, None) is not None:
+        return _remove_in_passes(docs, benchmark, window, max_coverage, max_words)
+    shared = docs.sparkSession.sparkContext.broadcast(first)
     at = docs.columns.index("text")
     counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
@@ -287,5 +370,40 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     return docs.mapInArrow(run, docs.schema)
 
 
+def _remove_in_passes(docs: DataFrame, benchmark: DataFrame, window: int, max_coverage: float, max_words: int) -> DataFrame:
+    """As :func:`remove_benchmark`, for a benchmark of several automata: rounds over the rows that still have hits."""
+    number, cuts = fresh("row"), fresh("cuts")
+    clean: DataFrame | None = None
+    open_ = write_stage(docs.withColumn(number, F.monotonically_increasing_id()), "open-texts")
+    schema = open_.schema
+    at = open_.columns.index("text")
+    counted = open_.columns.index("n_chars") if "n_chars" in open_.columns else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            met = batch[cuts].to_pylist()
+            texts = [_without(t, _united([(s["start"], s["end"]) for s in spans])) for t, spans in zip(batch.column(at).to_pylist(), met, strict=True)]
+            cols = list(batch.columns)[:len(schema)]
+            cols[at] = pa.array(texts, cols[at].type)
+            if counted is not None:
+                cols[counted] = pa.array([len(t) for t in texts], cols[counted].type)
+            yield pa.RecordBatch.from_arrays(cols, schema.names)
+
+    while True:
+        told = _all_hits(open_.select(F.col(number).alias("of"), F.coalesce("text", F.lit("")).alias("text")), benchmark, window, max_words)
+        told = write_stage(told.select("of", "n_words", F.col("spans").alias(cuts)), "text-hits")
+        marked = open_.join(told, F.col(number) == F.col("of"))
+        done = marked.filter(F.size(cuts) == 0).select(*schema.names)
+        # the share is of the text as it came in: only the first round drops rows
+        hit = marked.filter(F.size(cuts) > 0)
+        if clean is None:
+            words_hit = F.size(F.array_distinct(F.flatten(F.transform(cuts, lambda s: F.sequence(s["start"], s["end"] - 1)))))
+            hit = hit.filter(words_hit <= max_coverage * F.col("n_words"))
+        clean = done if clean is None else clean.unionByName(done)
+        open_ = write_stage(hit.select(*schema.names, cuts).mapInArrow(cut, schema), "open-texts")
+        if open_.isEmpty():
+            return clean.drop(number)
+
+
 def op7_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("spans")

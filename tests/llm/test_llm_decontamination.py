@@ -6,6 +6,7 @@ import re
 
 import pytest
 from llm_fixtures import SF_SMALL, no_docs, odd_docs  # noqa: F401
+from pyspark.sql import functions as F
 
 from tessera.llm import decontamination as dc
 
@@ -68,6 +69,31 @@ def test_odd_rows(spark, odd_docs, no_docs, items):
         dc.build_automaton(items, max_words=5)
 
 
+def test_several_automata_give_the_result_of_one(spark, odd_docs, items):
+    random.seed(11)
+    letters = "abcd"
+    bench = [(k, " ".join(random.choice(letters) for _ in range(random.choice((0, 1, 3, 9, 10, 14, 40))))) for k in range(25)]
+    bench = spark.createDataFrame(bench, "item_id long, text string").unionByName(items)
+    rows = [(i, " ".join(random.choice(letters + "z") for _ in range(random.randint(0, 60)))) for i in range(60)] + [(None, "a"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd_docs.select("doc_id", "text").filter("doc_id < 6"))
+    docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    one = sorted(map(str, dc.contamination(docs, bench, 6).collect()))
+    kept = sorted(map(str, dc.remove_benchmark(docs, bench, 6).collect()))
+    for limit in (5, 37):
+        assert sum(1 for _ in dc.automata(bench, 6, limit)) > 2
+        assert sorted(map(str, dc.contamination(docs, bench, 6, limit).collect())) == one
+        assert sorted(map(str, dc.remove_benchmark(docs, bench, 6, max_words=limit).collect())) == kept
+    assert any("contaminated=True" in r for r in one)
+
+
+def test_items_without_or_with_equal_ids_stay_apart(spark):
+    rows = [(None, "alpha beta"), ("None", "gamma delta"), ("7", "alpha beta"), ("7", "gamma delta")]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    got = dc.contamination(spark.createDataFrame([(1, "x alpha beta y gamma delta")], "doc_id long, text string"), bench).first()
+    assert (got.n_hit, got.n_items) == (4, 4)
+    assert got.items_sha256 == hashlib.sha256(",7,7,None".encode()).hexdigest()
+
+
 def test_query(spark):
     pairs = [(str(r.item_id), words(r.text)) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
