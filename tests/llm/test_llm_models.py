@@ -303,3 +303,15 @@ def test_personal_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     check_personal({r.doc_id: r.text for r in odd_docs.collect()}, rows)
     assert pii.personal_data(no_docs, field).count() == 0
+
+
+def test_long_runs_of_digits_are_scanned_once():
+    import time
+
+    from tessera.llm import pii
+
+    for text in ("7" * 200_000, "1." * 100_000, "1.2.3.4567 " + "9" * 100_000 + ".1.2.3", "+" + "1 " * 100_000):
+        began = time.process_time()
+        pii.nodes(text, pii.base_spans(text))
+        assert time.process_time() - began < 2
+    assert [(s, e) for s, k, e in pii.base_spans("x1.2.3.4.5.6.7.8 0001.2.3.4 1.2.3.4567 12.1.1.1.1") if k == 1] == [(1, 8), (9, 16), (17, 27), (39, 47)]
