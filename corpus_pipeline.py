@@ -5,7 +5,7 @@ where ``docs`` is what the stage before kept, and returns a DataFrame.  All but
 the last return the columns of ``documents``, the last the packed pieces.
 ``run`` applies them to ``documents``; each result is written to the folder in
 ``spark.checkpoint.dir`` and read again, so a lost executor costs a stage at
-most.  Labels and benchmark items come from the tables beside ``documents``.
+most; once it is written, the folders that led to it are deleted.  Labels and benchmark items come from the tables beside ``documents``.
 An empty table passes through all stages as an empty table.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontamination, exact_dedup, packing, quality, simhash
 from tessera.llm.common import read_table, write_stage
+from tessera.sources.sinks import drop_scratch, scratch_mark
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, mark = read_table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES:
         docs = write_stage(stage(spark, docs, sf_dir), name)
+        drop_scratch(spark, mark, keep_last=True)  # the stage is written: what led to it can go
     return docs

@@ -24,13 +24,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Delete every scratch folder that this process has written so far; their number.
+def scratch_mark() -> int:
+    """A point in time for :func:`drop_scratch`."""
+    return len(_scratch)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep_last: bool = False) -> int:
+    """Delete every scratch folder that this process has written so far (after the mark ``since``); their number.
 
     Lazy results read their stages from there, so call it once a job's results
-    are written elsewhere.
+    are written elsewhere, or with ``keep_last`` in the folder written last.
     """
-    paths, _scratch[:] = list(_scratch), []
+    until = len(_scratch) - keep_last
+    paths = _scratch[since:until]
+    del _scratch[since:until]
     for path in paths:
         drop_path(spark, path)
     return len(paths)
