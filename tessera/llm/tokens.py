@@ -25,8 +25,8 @@ LATIN = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 _LETTERS = rf"[{LATIN}]++(?![^{WHITE_SPACE}!-&(-/:-@\[-`{{-~])"
 #: Segments of a generation that a worker remembers, and the longest of them in characters.  When a generation is
 #: full it becomes the old one, from which segments that are met again are taken over; the one before goes.  A
-#: generation is about 50 MB; only one outlives a task, as workers are used again by other stages.
-KEPT_SEGMENTS, KEPT_LENGTH = 300_000, 40
+#: generation is about 80 MB, of which a worker holds at most two, also while other stages use them.
+KEPT_SEGMENTS, KEPT_LENGTH = 500_000, 40
 #: Segments encoded in one call, with a separator between them.
 JOINED = 512
 
@@ -44,7 +44,7 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def _ask(self, segments: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(segments, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as unsigned 32-bit integers in native byte order."""
@@ -74,7 +74,7 @@ class SegmentEncoder(Encoder):
             segments = [s for s in segments if s not in skip]
         for at in range(0, len(segments), JOINED):
             some = segments[at:at + JOINED]
-            ids = np.array(self.tokenizer.encode(self.separator.join(some), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(some)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(ids == self.separator_id)
             if len(ends) + 1 != len(some):  # not cut as expected: ask for each
                 self.kept.update(zip(some, self._ask(some), strict=True))
@@ -140,12 +140,6 @@ def encoder(path: str) -> Encoder:
     return _made[path]
 
 
-def release(path: str) -> None:
-    """Ends a task: the older generation of the worker's encoder goes."""
-    if path in _made:
-        _made[path].old = {}
-
-
 def encode(path: str, texts: list[str], end_id: int) -> list[np.ndarray]:
     """The ids of each text, followed by ``end_id``."""
     end = array("I", [end_id]).tobytes()
