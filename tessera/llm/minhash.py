@@ -20,8 +20,8 @@ of hubs grows until all members of every list are linked or compared.  So a
 group of near copies costs about one comparison a member, never one a pair, and
 no list is ever gathered in one task.
 
-The estimate never loses a pair of sets of at most ``k`` hashes; beyond, it lets
-pass what is up to 6.5 standard deviations below the limit (a loss below one
+The estimate (of the ``ESTIMATED`` smallest hashes) never loses a pair of smaller
+sets, nor do the lists one of at most ``k`` hashes; beyond, both let pass what is up to 6.5 standard deviations below the limit (a loss below one
 linked pair in ten million).  Shingles are compared by 64-bit hashes.
 
 Defined results: a null, empty or blank text has the empty set and is linked
@@ -48,6 +48,8 @@ from tessera.llm.graph import components
 SHINGLE, PERCENT, SKETCH = 5, 85, 64
 #: Values of the second sketch, of the classes that the first does not rule out.
 REFINED = 512
+#: Values of the sketches by which pairs are estimated before their full sets meet.
+ESTIMATED = 256
 #: Hubs of a list in the first round, and by what their number grows.
 MORE_HUBS = 8
 #: Ids that are broadcast to pick texts; with more of them the texts are shuffled.
@@ -185,6 +187,7 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, per
         return None
     full = _full_sets(docs, wanted.select("cls", "doc_id", "digest"), shingle)
     refined = full.select("cls", F.size("shingles").alias("n"), F.slice("shingles", 1, max(k, REFINED)).alias("sketch"))
+    estimated = full.select("cls", F.slice("shingles", 1, max(k, ESTIMATED)).alias("sketch"))
     open_ = write_stage(_listed(refined, max(k, REFINED), percent), "lists")
     lists_of = write_stage(open_.groupBy(F.col("cls").alias("of")).agg(F.collect_list("v").alias("lists")), "lists-of-classes")
     open_ = open_.withColumn("root", F.col("cls"))
@@ -214,7 +217,7 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, per
         if refused is not None:
             pairs = pairs.join(refused.select(F.col("a").alias("ra"), F.col("b").alias("rb")),
                                (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb")), "left_anti")
-        likely = _with_both(pairs, wanted, "sketch").filter(_may_link(k, percent)).select("a", "b")
+        likely = _with_both(pairs, estimated, "sketch").filter(_may_link(max(k, ESTIMATED), percent)).select("a", "b")
         likely = write_stage(likely, "likely-pairs")
         told = write_stage(_with_both(likely, full, "shingles").select("a", "b", _linked(percent).alias("linked")), "told-pairs")
         now = told.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
