@@ -1,16 +1,20 @@
 """Personal data: fixed patterns, extended by a skip-chain conditional random field.
 
-The patterns give the base spans.  Tokens that hold a digit or an at sign, or
-that repeat a token of a base span, are nodes of a random field over the labels
-none, email, ip, card and phone.  Neighbouring nodes share a chain potential;
-a node and the next one of the same (or, stripped of marks, the same) token
-share a skip potential, however far apart, so that the number of potentials is
+The patterns give the base spans.  Tokens that hold a digit or an at sign (or a
+written-out one), or that repeat a token of a base span, are nodes of a random
+field over the labels none, email, ip, card and phone.  Neighbouring nodes share
+a chain potential.  Skip potentials join a node with the next one of the same
+token (marks, case and written-out marks aside) and the next number that ends in
+the same seven digits, however far apart, so that the number of potentials is
 linear in the nodes.  Loopy message passing gives marginals; runs of nodes that
-are surely one kind, outside the base spans, become further spans.
+are surely one kind, outside the base spans, become further spans if they have
+the make-up of that kind (``plausible``).
 
 Potentials are estimated from counts over all texts with the base spans as
-labels; shapes and contexts are hashed to fixed numbers of buckets, so the model
-has a fixed size.
+labels.  A node outside the base spans that repeats or resembles a base token is
+masked: its label is unknown, not "none", so it enters no count, and the field
+does not learn to repeat what the patterns miss.  Shapes and contexts are hashed
+to fixed numbers of buckets, so the model has a fixed size.
 
 Defined results: a null or empty text has no span.  Offsets are code points, end
 exclusive.  Repeated rows are reported alike, a null ``doc_id`` too; an empty
@@ -48,7 +52,10 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_MARKED = re.compile(r"[0-9@]")
+_MARKED = re.compile(r"[0-9@]|[\[(](?i:at)[\])]")
+_WRITTEN = re.compile(r"[\[(](?:at|dot)[\])]")
+#: Last digits by which two numbers resemble each other.
+TAIL = 7
 _TOKENS = re.compile(r"\S+")
 
 Span = tuple[int, int, int]  # start, kind (index in KINDS), end
@@ -103,12 +110,14 @@ class Node:
     shape: int
     context: int
     wrapped: bool = False  # in parentheses, which belong to a span that goes on
+    tail: str = ""  # last digits of a number of at least ``TAIL``
+    masked: bool = False  # outside the base spans, but like a token of one
 
 
 def _shape(token: str) -> int:
-    """Bucket of the token's runs of digits, letters and marks, with run lengths up to 4."""
+    """Bucket of the token's runs of digits, letters and marks, with the lengths of runs of up to 11 digits."""
     runs = re.sub(r"[^\W\d_]+", "a", token)
-    runs = re.sub(r"[0-9]+", lambda m: f"9{min(len(m[0]), 4) if len(m[0]) < 12 else 'L'}", runs)
+    runs = re.sub(r"[0-9]+", lambda m: f"9{len(m[0]) if len(m[0]) < 12 else 'L'}", runs)
     return zlib.crc32(runs.encode("utf-8", "surrogatepass")) % SHAPES
 
 
@@ -119,7 +128,7 @@ def nodes(text: str, base: list[Span]) -> list[Node]:
     """Tokens with a digit or at sign, and tokens that repeat one of a base span."""
     if not _MARKED.search(text):
         return []
-    found, keys, before = [], set(), ""
+    found, keys, tails, before = [], set(), set(), ""
     held = base
     k = 0
     rows = []
@@ -137,28 +146,36 @@ def nodes(text: str, base: list[Span]) -> list[Node]:
                 break
             j += 1
         marked = _MARKED.search(core) is not None
-        key = "".join(c for c in core.lower() if c.isalnum()) if marked else core.lower()
+        key = "".join(c for c in _WRITTEN.sub("", core.lower()) if c.isalnum()) if marked else core.lower()
+        tail = key[-TAIL:] if len(key) >= TAIL and key.isascii() and key.isdigit() else ""
         if label and len(key) >= 3:
             keys.add(key)
+            tails.add(tail)
         wrapped = text[start - 1:start] == "(" and text[end:end + 1] == ")"
-        rows.append((start, end, position, key, label, marked and bool(core), before, core, wrapped))
+        rows.append((start, end, position, key, label, marked and bool(core), before, core, wrapped, tail))
         before = token
-    for start, end, position, key, label, marked, prev, core, wrapped in rows:
+    for start, end, position, key, label, marked, prev, core, wrapped, tail in rows:
         if core and (marked or key in keys):
-            found.append(Node(start, end, position, key, label, _shape(core), zlib.crc32(prev.lower().encode("utf-8", "surrogatepass")) % CONTEXTS, wrapped))
+            found.append(Node(start, end, position, key, label, _shape(core), zlib.crc32(prev.lower().encode("utf-8", "surrogatepass")) % CONTEXTS, wrapped,
+                              tail, not label and (key in keys or bool(tail) and tail in tails)))
     return found
 
 
 def edges(some: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges (neighbouring tokens) and skip edges (a token and its next occurrence)."""
+    """Chain edges (neighbouring tokens) and skip edges (a token and its next occurrence, a number and its next like)."""
     chain = [(i, i + 1) for i in range(len(some) - 1) if some[i + 1].position == some[i].position + 1]
     last: dict[str, int] = {}
+    alike: dict[str, int] = {}
     skip = []
     for i, n in enumerate(some):
         if len(n.key) >= 3:
             if n.key in last:
                 skip.append((last[n.key], i))
+            if n.tail in alike and alike[n.tail] != last.get(n.key):
+                skip.append((alike[n.tail], i))
             last[n.key] = i
+            if n.tail:
+                alike[n.tail] = i
     return chain, skip
 
 
@@ -181,9 +198,18 @@ class Field:
                     out[a, b] += n
             return out
 
+        def alike(n: np.ndarray) -> np.ndarray:
+            """The kinds share their skip counts, so that a kind without repeats in the corpus has the potential of the others."""
+            n, kinds = n + n.T, slice(1, None)
+            same = np.eye(N - 1, dtype=bool)
+            out = n.copy()
+            out[0, kinds] = out[kinds, 0] = n[0, kinds].mean()
+            out[kinds, kinds] = np.where(same, n[kinds, kinds][same].mean(), n[kinds, kinds][~same].mean())
+            return out / 2
+
         label = table("label", 1, 1.0)[:, 0]
         shape, context = table("shape", SHAPES, 0.05), table("context", CONTEXTS, 0.5)
-        chain, skip = table("chain", N, 0.5), table("skip", N, 0.5)
+        chain, skip = table("chain", N, 0.5), alike(table("skip", N, 0.05))
 
         def pairs(n: np.ndarray) -> np.ndarray:
             n = n + n.T
@@ -236,9 +262,11 @@ def fit(docs: DataFrame) -> Field:
                 if not some:
                     continue
                 chain, skip = edges(some)
-                seen = [("label", n.label, 0) for n in some] + [("shape", n.label, n.shape) for n in some]
-                seen += [("context", n.label, n.context) for n in some]
-                seen += [("chain", some[a].label, some[b].label) for a, b in chain] + [("skip", some[a].label, some[b].label) for a, b in skip]
+                known = [n for n in some if not n.masked]
+                seen = [("label", n.label, 0) for n in known] + [("shape", n.label, n.shape) for n in known]
+                seen += [("context", n.label, n.context) for n in known]
+                seen += [(kind, some[a].label, some[b].label) for kind, pairs in (("chain", chain), ("skip", skip)) for a, b in pairs
+                         if not (some[a].masked or some[b].masked)]
                 for x in seen:
                     total[x] = total.get(x, 0) + 1
         rows = sorted(total.items())
@@ -250,9 +278,22 @@ def fit(docs: DataFrame) -> Field:
     return Field.from_counts({(r["kind"], r["a"], r["b"]): r["n"] for r in counted.collect()})
 
 
+def plausible(kind: int, held: list[Node]) -> bool:
+    """Whether tokens have the make-up of a kind: a repeated address, four numbers, or a kind's count of digits."""
+    text = "".join(n.key for n in held)
+    digits = len(_digits(text))
+    if kind == 0:
+        return all(n.masked for n in held)
+    if kind == 1:
+        return 4 <= digits <= 12 and digits == len(text)
+    low, high = ((14, 19), (TAIL, 15))[kind - 2]
+    return low <= digits <= high and digits == len(text)
+
+
 def further_spans(some: list[Node], marginals: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of neighbouring nodes that are surely of one kind and touch no base span."""
+    """Runs of neighbouring nodes that are surely of one kind, have its make-up and touch no base span."""
     out: list[Span] = []
+    runs: list[list[Node]] = []
     best, sure = marginals.argmax(axis=1), marginals.max(axis=1) >= SURE
     last = -1
     for i, n in enumerate(some):
@@ -261,10 +302,13 @@ def further_spans(some: list[Node], marginals: np.ndarray, base: list[Span]) ->
         if out and last == i - 1 and some[last].position == n.position - 1 and best[last] == best[i]:
             opened = some[last].wrapped and out[-1][0] == some[last].start
             out[-1] = (out[-1][0] - opened, out[-1][1], n.end)
+            runs[-1].append(n)
         else:
             out.append((n.start, int(best[i]) - 1, n.end))
+            runs.append([n])
         last = i
-    return [s for s in out if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+    return [s for s, held in zip(out, runs, strict=True)
+            if plausible(s[1], held) and not any(b[0] < s[2] and s[0] < b[2] for b in base)]
 
 
 def _told(spans: list[Span]) -> str:
