@@ -3,8 +3,11 @@
 Every text is a blob, addressed by the SHA-256 of its bytes.  The ledger has one
 row for each blob and version of a rule that was scanned, with the spans found
 (none is a finding too).  A scan takes the (blob, rule version) pairs of the
-input that the ledger lacks, reads each unseen blob once, by one of the rows
-that hold it, and appends; findings are joined back to all rows that hold a blob.
+input that the ledger lacks and appends what it finds; findings are joined back
+to all rows that hold a blob.  No text is shuffled, however many blobs are new:
+the unseen pairs, each by one of the rows that hold the blob, set bits in a filter
+of fixed size for each rule, and a row is scanned where it lies by the rules whose
+bit it meets.  Matches of pairs that met a bit by chance are dropped exactly.
 
 Positions need no Python: the pieces between matches and the matches themselves
 have lengths, and running sums of them are the spans, in code points.
@@ -22,11 +25,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import doc_text, read_table, same, write_stage
+from tessera.llm.common import doc_text, read_table, write_stage
 from tessera.sources.sinks import scratch_path
 
-#: Unseen blobs (about 100 bytes each) up to which they are broadcast to the texts.
+#: Unseen blobs (about 300 bytes each with their pairs) up to which the pairs are broadcast to the matches.
 BROADCAST_BLOBS = 50_000
+#: Bits of a bitmap (fixed by Spark's bitmap functions) and bitmaps of a rule: 4 MB a rule at most, whatever the input.
+BITS, BUCKETS = 1 << 15, 1 << 10
 
 LEDGER_SCHEMA = "blob binary, rule string, version int, spans array<struct<start:int,end:int>>"
 
@@ -75,6 +80,23 @@ def _matches(text: Column, rule: Rule) -> Column:
     return F.when(found, F.filter(rows, lambda x: x["length"].isNotNull()))
 
 
+def _maybe_unseen(texts: DataFrame, unseen: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """Rows of ``texts`` that may stand for an unseen blob, with ``todo_<i>``: whether rule i may lack it."""
+    place = F.pmod(F.xxhash64("blob", "doc_id"), F.lit(BITS * BUCKETS))
+    bucket, bit = F.shiftright(place, BITS.bit_length() - 1).cast("int"), place.bitwiseAND(F.lit(BITS - 1))
+    filters = unseen.withColumnRenamed("rep_id", "doc_id").groupBy(bucket.alias("bucket")).agg(
+        *[F.bitmap_construct_agg(F.when(F.col("rule") == r.name, bit)).alias(f"bits_{i}") for i, r in enumerate(rules)])
+
+    def met(bits: str) -> Column:
+        byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(F.col("bit"), 3) + 1, F.lit(1))), 16, 10).cast("int")
+        return F.bit_get(byte, F.col("bit").bitwiseAND(F.lit(7))) == 1
+
+    placed = texts.select("blob", "text", bucket.alias("at"), bit.cast("int").alias("bit"))
+    tested = placed.join(F.broadcast(filters), F.col("at") == F.col("bucket")).select(
+        "blob", "text", *[met(f"bits_{i}").alias(f"todo_{i}") for i in range(len(rules))])
+    return tested.filter(" or ".join(f"todo_{i}" for i in range(len(rules))))
+
+
 def scan(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows for the blobs of ``docs`` and versions of ``rules`` that ``ledger`` lacks."""
     texts = doc_text(docs).withColumn("blob", _blob(F.col("text")))
@@ -84,14 +106,13 @@ def scan(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) ->
     seen = ledger.select(F.col("blob").alias("b"), F.col("rule").alias("r"), F.col("version").alias("v"))
     unseen = write_stage(pairs.join(seen, (F.col("blob") == F.col("b")) & (F.col("rule") == F.col("r")) & (F.col("version") == F.col("v")), "left_anti"),
                          "unseen-pairs")
-    todo = unseen.groupBy("blob", "rep_id").agg(F.collect_set("rule").alias("todo")).select(F.col("blob").alias("b"), "rep_id", "todo")
-    # few unseen blobs are broadcast, and no text moves; else texts move once and are not sorted, as the short side is built
-    todo = F.broadcast(todo) if todo.limit(BROADCAST_BLOBS + 1).count() <= BROADCAST_BLOBS else todo.hint("shuffle_hash")
-    open_ = texts.join(todo, (F.col("blob") == F.col("b")) & same(F.col("doc_id"), F.col("rep_id")))
     none = F.array().cast("array<struct<rule:string,version:int,i:int,before:int,length:int,ok:boolean>>")
-    per_rule = [F.coalesce(F.when(F.array_contains("todo", r.name), _matches(F.col("text"), r)), none) for r in rules]
-    # rows of one text and id are equal: one stands for them
-    matches = open_.select("blob", F.inline(F.concat(*per_rule))).distinct()
+    per_rule = [F.coalesce(F.when(F.col(f"todo_{i}"), _matches(F.col("text"), r)), none) for i, r in enumerate(rules)]
+    met = _maybe_unseen(texts, unseen, rules).select("blob", F.inline(F.concat(*per_rule)))
+    pairs = unseen.select("blob", "rule", "version")
+    few = unseen.select("blob").distinct().limit(BROADCAST_BLOBS + 1).count() <= BROADCAST_BLOBS
+    # rows of one text and id are equal, copies of a text as well: one stands for them
+    matches = met.join(F.broadcast(pairs) if few else pairs.hint("shuffle_hash"), ["blob", "rule", "version"], "left_semi").distinct()
     until = Window.partitionBy("blob", "rule", "version").orderBy("i")
     placed = matches.withColumn("end", (F.sum("before").over(until) + F.sum("length").over(until)).cast("int"))
     spans = placed.filter("ok").select("blob", "rule", "version", F.struct((F.col("end") - F.col("length")).alias("start"), "end").alias("span"))

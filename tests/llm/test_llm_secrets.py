@@ -105,3 +105,22 @@ def test_few_unseen_blobs_move_no_text(spark, monkeypatch, capsys):
 def test_incremental_query_equals_the_full_one(spark):
     full, parts = secrets.op6_query(spark, SF_SMALL), secrets.op6_incremental_query(spark, SF_SMALL)
     assert full.columns == parts.columns and sorted(map(str, full.collect())) == sorted(map(str, parts.collect()))
+
+
+def test_no_text_passes_an_exchange(spark, monkeypatch, capsys):
+    """Texts are scanned where they lie, for few unseen blobs and for many, and chance bits add nothing."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('token=abcdefgh', id % 700) AS text")
+    path = scratch_path(spark, "ledger")
+    secrets.update_ledger(docs.filter("doc_id < 300"), path)
+    ledger = spark.read.schema(secrets.LEDGER_SCHEMA).parquet(path)
+    for limit in (50_000, 5):
+        monkeypatch.setattr(secrets, "BROADCAST_BLOBS", limit)
+        new = secrets.scan(docs, ledger)
+        new.explain("formatted")
+        plan = capsys.readouterr().out
+        assert not re.search(r"Exchange\nInput[^\n]*\btext#", plan)
+        want = sorted(map(str, new.collect()))
+        assert new.count() == 400 * len(secrets.RULES)
+    monkeypatch.setattr(secrets, "BITS", 1 << 3)  # so full that every row meets a bit
+    monkeypatch.setattr(secrets, "BUCKETS", 1)
+    assert sorted(map(str, secrets.scan(docs, ledger).collect())) == want
