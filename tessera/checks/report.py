@@ -19,13 +19,10 @@ def summarize(results: DataFrame) -> DataFrame:
 
 
 def summary_line(results: DataFrame) -> str:
-    row = summarize(results).first()
-    parts = [f"{row['passed']} passed"]
-    if row["failed"]:
-        parts.append(f"{row['failed']} failed")
-    if row["errors"]:
-        parts.append(f"{row['errors']} error{'s' if row['errors'] > 1 else ''}")
-    return "  ·  ".join(parts)
+    """The statuses that occur with their counts, passed ones always."""
+    n = {r["status"]: r["n"] for r in results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    words = {"PASS": "passed", "FAIL": "failed", "ERROR": "error" if n.get("ERROR") == 1 else "errors"}
+    return "  ·  ".join(f"{n.get(status, 0)} {word}" for status, word in words.items() if status == "PASS" or n.get(status))
 
 
 def check_sql(check: m.Check, source: str, columns: list[str] | None = None, condition: str | None = None) -> str:
@@ -100,20 +97,15 @@ def summary_by_run(history: DataFrame) -> DataFrame:
 
 
 def checks_sql_text(exported: DataFrame) -> DataFrame:
-    """IO6 as text: one block per check with its reason and last run as comments."""
-    header = F.concat(
-        F.lit("-- ["), F.lpad(F.col("position").cast("string"), 2, " "), F.lit("] "), F.col("name"),
-        F.lit("\n--      column : "), F.col("column"),
-        F.lit("\n--      type   : "), F.col("test_type"),
-        F.lit("\n--      reason : "), F.col("reason"),
-        F.lit("\n--      last run: "), F.coalesce(F.col("last_run"), F.lit("not run")),
-        F.lit("\n"), F.col("sql"), F.lit(";\n"))
-    return exported.orderBy("position").select(header.alias("value"))
+    """IO6 as text: a check is one comment line (its number, name and the rest as JSON) and its statement."""
+    about = F.to_json(F.struct("column", "test_type", "reason", F.coalesce("last_run", F.lit("not run")).alias("last_run")))
+    line = F.concat(F.format_string("-- [%2d] %s ", "position", "name"), about, F.lit("\n"), F.col("sql"), F.lit(";\n"))
+    return exported.orderBy("position").select(line.alias("value"))
 
 
 def source_header(source: str, definition: str | None, created: str) -> str:
     """What makes the text run later: the view of the checked query, or where it must come from."""
-    made = f"CREATE OR REPLACE TEMPORARY VIEW {m.q(source)} AS\n{definition.strip().rstrip(';')};" if definition else \
+    made = f"CREATE OR REPLACE TEMPORARY VIEW {m.q(source)} AS\n{definition.strip().rstrip(';')}\n;" if definition else \
         f"-- needs a table or view {source}"
     return f"-- Checks of {source}, written {created}\n{made}\n"
 
@@ -130,13 +122,22 @@ def write_checks_sql(exported: DataFrame, path: str, source: str, definition: st
     return path
 
 
+#: What a semicolon may stand in without ending a statement: literals, quoted names, comments.
+_QUOTED = re.compile(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/)|;""", re.S)
+
+
+def statements(text: str) -> list[str]:
+    """The statements of a text; semicolons within literals, names and comments end none."""
+    out, start = [], 0
+    for m in _QUOTED.finditer(text):
+        if m[1] is None:
+            out.append(text[start:m.start()])
+            start = m.end()
+    out.append(text[start:])
+    return [x.strip() for x in out if _QUOTED.sub(lambda m: "" if (m[1] or "")[:2] in ("--", "/*") else m[0], x).strip()]
+
+
 def run_sql_text(spark, text: str) -> list[int]:
     """Run a file written by :func:`write_checks_sql`; the counts of its checks in order."""
-    counts = []
-    for statement in re.split(r";[ \t]*(?:\n|$)", text):
-        body = "\n".join(x for x in statement.splitlines() if not x.startswith("--")).strip()
-        if body:
-            out = spark.sql(body)
-            if out.columns:
-                counts.append(int(out.first()[0]))
-    return counts
+    results = [spark.sql(statement) for statement in statements(text)]
+    return [int(out.first()[0]) for out in results if out.columns]

@@ -121,3 +121,18 @@ def test_colliding_or_bad_file_names_are_rejected(spark, tmp_path):
     spark.range(7).write.parquet(str(d / "my-file.parquet"))
     with pytest.raises(ValueError, match="users.*my-file"):
         register_views(spark, str(d))
+
+
+def test_exported_text_of_awkward_definitions(spark, tmp_path):
+    """Semicolons in literals and comments, and a comment at the end, neither cut nor swallow a statement."""
+    from tessera.checks import model as M
+    from tessera.checks.report import run_sql_text, statements
+
+    definition = "SELECT id, 'a;\\n' AS note, \"b;\" AS `odd;name` /* no; end */ FROM range(5) -- last; one"
+    df = spark.sql(definition)
+    exported = export_checks(spark, [M.not_null("note"), M.row_count_positive()], None, "awkward", df)
+    path = write_checks_sql(exported, str(tmp_path / "sql"), "awkward", definition)
+    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    assert len(statements(text)) == 3
+    assert run_sql_text(spark, text) == [0, 0]
+    spark.catalog.dropTempView("awkward")
