@@ -25,7 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import (AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException,
                             IllegalArgumentException, NumberFormatException, SparkRuntimeException)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DayTimeIntervalType, NumericType, YearMonthIntervalType
 
@@ -194,6 +194,17 @@ def run_checks(df: DataFrame, checks: list[m.Check], *, duplicates: str = "hashe
     return _run_checks(df, checks, duplicates, max_parallel)
 
 
+def results_frame(spark: SparkSession, checks: list[m.Check], outcome: dict[int, tuple[int | None, str | None]]) -> DataFrame:
+    """RESULT_SCHEMA rows of the checks; ``outcome`` holds (failing rows, error) by index."""
+    rows = []
+    for i, c in enumerate(checks):
+        failing, error = outcome[i]
+        passed = error is None and failing == 0
+        status = "ERROR" if error is not None else ("PASS" if passed else "FAIL")
+        rows.append((i + 1, c.name, c.column, c.test_type, c.reason, failing, passed, error, status))
+    return spark.createDataFrame(rows, m.RESULT_SCHEMA)
+
+
 def _run_checks(df: DataFrame, checks: list[m.Check], duplicates: str, max_parallel: int) -> DataFrame:
     spark = df.sparkSession
     outcome: dict[int, tuple[int | None, str | None]] = {}
@@ -259,13 +270,7 @@ def _run_checks(df: DataFrame, checks: list[m.Check], duplicates: str, max_paral
         if pool:
             pool.shutdown(wait=True)
 
-    rows = []
-    for i, c in enumerate(checks):
-        failing, error = outcome[i]
-        passed = error is None and failing == 0
-        status = "ERROR" if error is not None else ("PASS" if passed else "FAIL")
-        rows.append((i + 1, c.name, c.column, c.test_type, c.reason, failing, passed, error, status))
-    return spark.createDataFrame(rows, m.RESULT_SCHEMA)
+    return results_frame(spark, checks, outcome)
 
 
 def auto_check(df: DataFrame, only: list[str] | None = None, skip: list[str] | None = None,

@@ -54,7 +54,7 @@ def suspect_rows(rows: DataFrame) -> DataFrame | None:
     return None if repeated is None else suspects(rows, hashed, repeated)
 
 
-def _as_text(c: Column, kind: T.DataType) -> Column:
+def as_text(c: Column, kind: T.DataType) -> Column:
     """Text that is equal exactly where values are."""
     if isinstance(kind, T.BinaryType):
         return F.hex(c)
@@ -69,7 +69,7 @@ def stackable(kind: T.DataType) -> bool:
 
 def stacked_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """``c`` (position in ``columns``), ``t`` (value as text): a row for each value that is not NULL, from one scan."""
-    made = [F.struct(F.lit(i).alias("c"), _as_text(F.col(q(name)), df.select(q(name)).schema[0].dataType).alias("t")) for i, name in enumerate(columns)]
+    made = [F.struct(F.lit(i).alias("c"), as_text(F.col(q(name)), df.select(q(name)).schema[0].dataType).alias("t")) for i, name in enumerate(columns)]
     return df.select(F.inline(F.array(*made))).filter("t IS NOT NULL")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.names import q
-from tessera.operators.duplicates import _as_text, stackable
+from tessera.operators.duplicates import as_text, stackable
 
 #: Rows by the hash of the whole row, rows by the hash of one column's value, and cells of those together.
 WHOLE_ROWS, VALUE_ROWS, CELLS = 1000, 400, 400_000
@@ -116,7 +116,7 @@ def _counterexample(rows: DataFrame, chosen: int) -> list[int]:
 def minimal_keys(df: DataFrame, max_width: int = 3, max_parallel: int = 4) -> list[list[str]]:
     """All minimal keys of up to ``max_width`` columns (nested columns are left out)."""
     fields = [f for f in df.schema.fields if stackable(f.dataType)]
-    rows = df.select(*[_as_text(F.col(q(f.name)), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+    rows = df.select(*[as_text(F.col(q(f.name)), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
     n = df.count()
     if not n or not fields:
         return []

@@ -18,6 +18,7 @@ from tessera.checks import model as M
 from tessera.checks.report import append_results, export_checks, summarize, summary_by_run
 from tessera.checks.rules import LEFT_JOIN_SUFFIX, suggest_checks
 from tessera.checks.run import auto_check, run_checks
+from tessera.checks.state import recheck
 from tessera.functions import predicates as P
 from tessera.functions import scalars as S
 from tessera.operators import incremental as INC
@@ -466,6 +467,21 @@ def q_check_accepted_from_table(spark, sf):
                                     M.accepted_from("l_returnflag", "accepted_customers", "c_mktsegment"), M.accepted_from("l_partkey", "no_such_table")]))
 
 
+def q_check_changed_partitions(spark, sf):
+    """A table checked with kept state, then again: one partition was replaced and one is new, the third is not read again."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    path, state = scratch_path(spark, "checked-table"), scratch_path(spark, "check-state")
+    _t(spark, sf, "customer").filter("c_custkey % 7 <> 0").createOrReplaceTempView("accepted_order_customers")
+    checks = [M.row_count_positive(), M.no_duplicate_rows(), M.unique("o_orderkey"), M.unique("o_custkey"), M.not_null("o_orderpriority"),
+              M.non_negative("o_totalprice"), M.accepted_from("o_custkey", "accepted_order_customers", "c_custkey"), M.non_negative("o_orderpriority")]
+    write_table(o.filter("o_orderstatus <> 'P'"), path, partition_by=["o_orderstatus"])
+    recheck(spark, path, checks, state)
+    bad = o.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 10 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")))
+    new = o.filter("o_orderstatus = 'P'").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")))
+    write_table(bad.unionByName(bad.filter("o_orderkey % 25 = 0")).unionByName(new), path, partition_by=["o_orderstatus"])
+    return _results(recheck(spark, path, checks, state))
+
+
 def q_summary_by_run(spark, sf):
     """Two runs in one history table, the second of which is repeated."""
     path = scratch_path(spark, "history")
@@ -604,6 +620,7 @@ def catalog() -> dict[str, Query]:
         "approx_distinct_rollup": q_approx_distinct_rollup,
         "download_growth_report_default": q_download_growth_report_default,
         "check_accepted_from_table": q_check_accepted_from_table,
+        "check_changed_partitions": q_check_changed_partitions,
         "summary_by_run": q_summary_by_run,
         "incremental_snapshots": q_incremental_snapshots,
         "percent_rank_text": q_percent_rank_text,

@@ -1,0 +1,127 @@
+"""Checks that read changed partitions only: equal results, folders read, runs that stop, errors of single checks."""
+
+import random
+
+import pytest
+
+from tessera.checks import model as M
+from tessera.checks import state as ST
+from tessera.checks.run import run_checks
+from tessera.sources.sinks import write_table
+
+SCHEMA = "id int, email string, amount double, note string, day string"
+
+
+def rows(spark, days, seed=0, n=60):
+    rng = random.Random(seed)
+    made = [(rng.choice([None, *range(90)]), rng.choice([None, "", "a@b.c", "no"]), rng.choice([None, 0.0, -0.0, -1.5, float("nan"), 7.0]),
+             rng.choice([None, "", "-", "x,y"]), d) for d in days for _ in range(n)]
+    return spark.createDataFrame(made + made[:5], SCHEMA)
+
+
+def checks(spark):
+    spark.createDataFrame([(i,) for i in range(0, 90, 2)] + [(None,)], "known int").createOrReplaceTempView("state_known")
+    spark.createDataFrame([("1",)], "known string").createOrReplaceTempView("state_text")
+    return [M.row_count_positive(), M.no_duplicate_rows(), M.unique("id"), M.unique("amount"), M.unique("day"), M.not_null("email"),
+            M.email_format("email"), M.non_negative("amount"), M.accepted_from("id", "state_known", "known"), M.not_null("nowhere")]
+
+
+def both(spark, path, state, wanted):
+    key = lambda frame: [(r.name, r.failing_rows, r.status) for r in frame.orderBy("position").collect()]
+    got = key(ST.recheck(spark, path, wanted, state))
+    assert got == key(run_checks(spark.read.parquet(path), wanted))
+    return got
+
+
+@pytest.fixture
+def read_parts(monkeypatch):
+    seen = []
+    real = ST.changed_rows
+    monkeypatch.setattr(ST, "changed_rows", lambda spark, path, parts, schema: (
+        seen.append(sorted(p.rsplit("/", 1)[1] for p in parts)), real(spark, path, parts, schema))[1])
+    return seen
+
+
+def test_only_changed_partitions_are_read(spark, tmp_path, read_parts):
+    path, state, wanted = str(tmp_path / "table with space"), str(tmp_path / "state"), checks(spark)
+    write_table(rows(spark, ["d1", "d 2", "d:3"]), path, partition_by=["day"])
+    both(spark, path, state, wanted)
+    both(spark, path, state, wanted)
+    assert len(read_parts) == 1 and len(read_parts[0]) == 3
+    write_table(rows(spark, ["d 2"], seed=1), path, partition_by=["day"])
+    both(spark, path, state, wanted)
+    rows(spark, ["d4"], seed=2).union(rows(spark, ["d1"], seed=3, n=7)).write.mode("append").partitionBy("day").parquet(path)
+    both(spark, path, state, wanted)
+    assert [len(parts) for parts in read_parts] == [3, 1, 2]
+    frame, _ = ST.changed_rows(spark, path, ["file://" + path.replace(" ", "%20") + "/day=d4"], spark.read.parquet(path).schema)
+    assert frame.inputFiles() and all("day=d4" in f for f in frame.inputFiles())
+
+
+def test_a_folder_that_is_gone_and_a_new_check(spark, tmp_path, read_parts):
+    path, state, wanted = str(tmp_path / "t"), str(tmp_path / "state"), checks(spark)
+    write_table(rows(spark, ["a", "b"]), path, partition_by=["day"])
+    both(spark, path, state, wanted[:4])
+    for f in (tmp_path / "t" / "day=b").iterdir():
+        f.unlink()
+    both(spark, path, state, wanted[:4])
+    assert len(read_parts) == 1
+    both(spark, path, state, wanted)  # checks without state read the rest once
+    assert [len(p) for p in read_parts] == [2, 1]
+    both(spark, path, ST.compact_state(spark, path, state, str(tmp_path / "compact")), wanted)
+    assert len(read_parts) == 2
+
+
+def test_a_stopped_run_leaves_no_trace(spark, tmp_path, monkeypatch):
+    path, state, wanted = str(tmp_path / "t"), str(tmp_path / "state"), checks(spark)
+    write_table(rows(spark, ["a", "b"]), path, partition_by=["day"])
+    real = ST._write_state
+
+    def stop(frame, where, name, batch):
+        if name == "known":
+            raise KeyboardInterrupt
+        real(frame, where, name, batch)
+
+    monkeypatch.setattr(ST, "_write_state", stop)
+    with pytest.raises(KeyboardInterrupt):
+        ST.recheck(spark, path, wanted, state)
+    monkeypatch.setattr(ST, "_write_state", real)
+    both(spark, path, state, wanted)
+    # two runs that finish the same folders count once
+    now = ST.folder_signatures(spark, path)
+    monkeypatch.setattr(ST, "_missing", lambda n, known, keys: n.crossJoin(spark.createDataFrame([(k,) for k in keys], "key string")))
+    ST.update_state(spark, path, wanted[:4], state, spark.read.parquet(path).schema, now)
+    monkeypatch.undo()
+    both(spark, path, state, wanted)
+
+
+def test_errors_stay_with_their_check(spark, tmp_path):
+    path, state = str(tmp_path / "t"), str(tmp_path / "state")
+    spark.sql("SELECT id, CAST(id AS string) AS t, array(id) AS l FROM range(9)").write.parquet(path)
+    broken = M.Check("t__number", "t", "format", "numbers", condition="CAST(concat('x', t) AS int) > 3", columns=("t",))
+    checks(spark)
+    got = {r.name: (r.failing_rows, r.status) for r in ST.recheck(spark, path, [M.not_null("t"), broken, M.no_duplicate_rows(), M.unique("id"),
+                                                                                M.accepted_from("id", "state_text", "known")], state).collect()}
+    assert got["t__not_null"] == (0, "PASS") and got["id__unique"] == (0, "PASS") and got["t__number"] == (None, "ERROR")
+    assert got["table__no_duplicate_rows"] == (None, "ERROR") and got["id__accepted_from__state_text"] == (None, "ERROR")
+
+
+def test_empty_tables(spark, tmp_path):
+    path, state, wanted = str(tmp_path / "t"), str(tmp_path / "state"), checks(spark)
+    rows(spark, ["a"]).limit(0).write.parquet(path)
+    got = both(spark, path, state, wanted)
+    assert got[0] == ("table__row_count_positive", 1, "FAIL")
+    (tmp_path / "none").mkdir()
+    none = ST.recheck(spark, str(tmp_path / "none"), wanted, str(tmp_path / "other"), spark.read.parquet(path).schema).collect()
+    assert [(r.name, r.failing_rows, r.status) for r in none] == got
+
+
+def test_export_of_a_frame_runs_in_another_session(spark, tmp_path):
+    from tessera.checks.job import check_table
+    from tessera.checks.report import run_sql_text
+
+    df = rows(spark, ["a", "b"]).withColumnRenamed("id", "row_id")
+    results, _ = check_table(spark, df, "frame_without_sql", sql_path=str(tmp_path / "sql"))
+    text = spark.read.text(str(tmp_path / "sql"), wholetext=True).first()[0]
+    other = spark.newSession()
+    assert not other.catalog.tableExists("frame_without_sql")
+    assert run_sql_text(other, text) == [r.failing_rows for r in results.orderBy("position").collect()]
