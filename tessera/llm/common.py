@@ -101,8 +101,10 @@ def filter_by_key(docs: DataFrame, keys: DataFrame, columns: dict[str, Column],
     """Rows of ``docs`` with (``left_semi``) or without (``left_anti``) a match in ``keys``.
 
     ``columns`` maps each column of ``keys`` to an expression over ``docs``.
-    Nulls match nulls.  ``keys`` is the build side of a hash join (or broadcast
-    when its size allows), so texts are shuffled at most once and never sorted.
+    Nulls match nulls.  ``keys`` is the build side of a shuffled hash join at any
+    size, so texts are shuffled at most once and never sorted.  A task holds its
+    partition's keys, which are to be distinct: ``spark.sql.shuffle.partitions``
+    must grow with their number.
     """
     made = {fresh("k"): (name, expr) for name, expr in columns.items()}
     right = keys.select(*[F.col(name).alias(f"{tmp}r") for tmp, (name, _) in made.items()])

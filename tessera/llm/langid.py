@@ -186,13 +186,18 @@ class Trees:
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, held_out: int = HELD_OUT) -> Trees:
-    """Trees from ``text`` and ``lang`` of rows outside the held-out fold."""
+    """Trees from ``text`` and ``lang`` of rows outside the held-out fold.
+
+    A repeated ``doc_id`` counts once for each of its languages, with one of its
+    texts, chosen by a digest.
+    """
     taught = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
     totals = {r["lang"]: r["count"] for r in taught.groupBy("lang").count().collect()}
     if not totals:
         return Trees([], [], [], [], [])
-    sample = sample_rows(taught, "lang", totals, per_language, F.col("doc_id"))
+    one = F.min_by("text", F.sha2(F.col("text").cast("binary"), 256))
+    sample = sample_rows(taught, "lang", totals, per_language, F.col("doc_id")).groupBy("doc_id", "lang").agg(one.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -112,6 +112,24 @@ def labelled(spark, name):
     return {r.doc_id: r[name] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
 
 
+def test_a_repeated_id_teaches_once(spark):
+    """A third of all rows under one id weigh as one row does; of its texts the same one is taken each time."""
+    rows = [(i, f"text {i} of language", "en") for i in range(1, 40)] + [(i, f"texte {i} de langue", "fr") for i in range(40, 80)]
+    schema = "doc_id long, text string, lang string"
+    plain, repeated = (spark.createDataFrame(r, schema).repartition(5) for r in (rows, rows + [rows[2]] * 500))
+    a, b = langid.fit(plain, folds=4, held_out=9), langid.fit(repeated, folds=4, held_out=9)
+    assert a.languages == b.languages == ["en", "fr"]
+    data = [langid.encoded(t) for _, t, _ in rows[::7]]
+    for trees in (a, b):
+        trees.prepare()
+    assert np.array_equal(a.lengths(data), b.lengths(data))
+    two = spark.createDataFrame([*rows, (3, "zzz", "en"), (3, "yyy", "fr")], schema)
+    got = [langid.fit(two.repartition(n), folds=4, held_out=9) for n in (1, 6)]
+    for trees in got:
+        trees.prepare()
+    assert np.array_equal(got[0].lengths(data), got[1].lengths(data))
+
+
 def test_toxicity_query(spark):
     truth = labelled(spark, "toxic")
     rows = [r for r in toxicity.op5_query(spark, SF).collect()]

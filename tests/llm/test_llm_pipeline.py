@@ -53,6 +53,24 @@ def test_run_and_odd_rows(spark, odd_docs, no_docs):
             assert name == "best_fit_packing" or docs.columns == odd_docs.columns
 
 
+def test_what_each_stage_makes_of_odd_rows(spark, odd_docs):
+    def rows(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+
+    stages, before = dict(corpus_pipeline.STAGES), rows(odd_docs)
+    model = quality.fit(odd_docs, read_table(spark, SF_SMALL, "labels"))
+    assert rows(stages["quality_filter"](spark, odd_docs, SF_SMALL)) == [r for r in before if model.scores([r[1] or ""])[0] >= quality.THRESHOLD]
+    single = [r for r in before if r[0] in (None, 6, 7, 8)]
+    five, one, two, four = (next(r for r in before if r[0] == i) for i in (5, 1, 2, 4))
+    assert rows(stages["exact_dedup"](spark, odd_docs, SF_SMALL)) == sorted([*single, five, four], key=repr)
+    assert rows(stages["simhash_near_dedup"](spark, odd_docs, SF_SMALL)) == sorted([*single, one, two], key=repr)
+    assert rows(stages["decontamination"](spark, odd_docs, SF_SMALL)) == before
+    packed = stages["best_fit_packing"](spark, odd_docs, SF_SMALL).collect()
+    whole = [r for r in packed if r.start == 0]
+    assert sorted((r.doc_id for r in whole), key=repr) == sorted((i for i, _ in before), key=repr)
+    assert {r.length for r in whole if r.doc_id in (2, 3)} == {1} and sum(r.length for r in packed if r.doc_id == 7) > 40_000
+
+
 def test_import_errors_are_not_swallowed():
     source = open(corpus_pipeline.__file__).read()
     assert not re.search(r"except\s+(ImportError|ModuleNotFoundError|Exception)|except:", source)
