@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.names import q
+from tessera.functions.names import q, unused
 
 LIMB, LIMBS = 6, 7
 #: Digits on each side of the decimal point.
@@ -23,16 +23,36 @@ WHOLE = LIMB * LIMBS
 _BASE = 10 ** LIMB
 
 
-def limb_columns(value: Column) -> list[Column]:
-    """The signed limbs of decimal text, the highest first: ``LIMBS`` before the point, ``LIMBS`` after it."""
-    text = value.cast("string")
-    part = [F.regexp_extract(text, r"^\s*([+-]?)([0-9]*)(?:\.([0-9]*))?\s*$", i) for i in (1, 2, 3)]
-    whole, rest = F.regexp_replace(part[1], "^0+", ""), F.regexp_replace(part[2], "0+$", "")
-    valid = text.rlike(r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$") & (F.length(whole) <= WHOLE) & (F.length(rest) <= WHOLE)
-    checked = F.when(valid | text.isNull(), F.lit(1)).otherwise(F.raise_error(F.concat(F.lit("not a decimal of at most 42 + 42 digits: "), text)).cast("int"))
-    digits = F.concat(F.lpad(whole, WHOLE, "0"), F.rpad(rest, WHOLE, "0"))
-    sign = F.when(part[0] == "-", F.lit(-1)).otherwise(F.lit(1)) * checked
-    return [(F.substring(digits, i * LIMB + 1, LIMB).cast("bigint") * sign).alias(f"limb{i}") for i in range(2 * LIMBS)]
+#: What ``\s`` matches.
+_BLANK = " \t\n\x0b\f\r"
+
+
+def with_limbs(df: DataFrame, value: Column, names: list[str]) -> DataFrame:
+    """``df`` with the signed limbs of decimal text as ``names``, the highest first: ``LIMBS`` before the point, ``LIMBS`` after it.
+
+    Each step is a projection of its own that reads the columns of the one before, so
+    that a text is taken apart once, not once a limb.
+    """
+    text, body, digits, sign = (unused(c, [*df.columns, *names]) for c in ("_text", "_body", "_digits", "_sign"))
+    trimmed = F.btrim(F.col(text), F.lit(_BLANK))
+    signed = F.substring(trimmed, 1, 1).isin("+", "-")
+    made = df.withColumn(text, value.cast("string")).withColumns({
+        body: F.when(signed, F.substring(trimmed, 2, 1 << 30)).otherwise(trimmed),
+        sign: F.when(F.substring(trimmed, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))})
+    point = F.instr(F.col(body), ".")
+    whole = F.substring_index(F.col(body), ".", 1)
+    rest = F.when(point > 0, F.substring(F.col(body), point + 1, F.lit(1 << 30))).otherwise("")
+    wide = [unused(c, made.columns) for c in ("_whole", "_rest")]
+    # zeros count for nothing; few texts have so many digits that they must go
+    made = made.withColumns({wide[0]: whole, wide[1]: rest}).withColumns({
+        wide[0]: F.when(F.length(wide[0]) > WHOLE, F.ltrim(F.col(wide[0]), F.lit("0"))).otherwise(F.col(wide[0])),
+        wide[1]: F.when(F.length(wide[1]) > WHOLE, F.rtrim(F.col(wide[1]), F.lit("0"))).otherwise(F.col(wide[1]))})
+    valid = F.col(body).rlike(r"^(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)\z") & (F.length(wide[0]) <= WHOLE) & (F.length(wide[1]) <= WHOLE)
+    error = F.raise_error(F.concat(F.lit("not a decimal of at most 42 + 42 digits: "), F.col(text))).cast("string")
+    filled = F.concat(F.lpad(wide[0], WHOLE, "0"), F.rpad(wide[1], WHOLE, "0"))
+    made = made.withColumn(digits, F.when(F.col(text).isNull(), None).when(valid, filled).otherwise(error))
+    limbs = {name: F.substring(F.col(digits), i * LIMB + 1, LIMB).cast("bigint") * F.col(sign) for i, name in enumerate(names)}
+    return made.withColumns(limbs).drop(text, body, digits, sign, *wide)
 
 
 def _carried(limbs: list[Column]) -> Column:
@@ -64,9 +84,11 @@ def wide_text(sums: list[Column]) -> Column:
 def wide_sum(df: DataFrame, keys: list[str], value: str | Column, name: str = "total", extra: list[Column] | None = None) -> DataFrame:
     """``keys``, ``name`` (exact sum as text) and the further aggregates ``extra`` of every group."""
     value = F.col(q(value)) if isinstance(value, str) else value
-    limbs = limb_columns(value)
-    made = df.select("*", F.when(value.isNotNull(), F.struct(*limbs)).alias("_limbs"))
-    sums = [F.sum(F.col(f"_limbs.limb{i}")).alias(f"_sum{i}") for i in range(2 * LIMBS)]
+    names: list[str] = []
+    for i in range(2 * LIMBS):
+        names.append(unused(f"_limb{i}", [*df.columns, *names]))
+    made = with_limbs(df, value, names)
+    sums = [F.sum(name).alias(f"_sum{i}") for i, name in enumerate(names)]
     extra = extra or []
     grouped = made.groupBy(*[F.col(q(k)) for k in keys]).agg(*sums, *extra)
     kept = [c for c in grouped.columns if not c.startswith("_sum")]
