@@ -6,7 +6,7 @@
   empty-input check become ``count_if`` aggregates of **one** ``df.agg`` -
   one scan of the source, one tiny shuffle, whatever the number of checks;
 * all uniqueness checks together are one pass over stacked (column, hash)
-  pairs, and a second one over the values whose hash repeats, never several
+  pairs, and a second one over the columns wider than 64 bits whose hashes repeat, never several
   ``COUNT(DISTINCT)`` in one select (which would ``Expand`` every row);
 * the duplicate-row check groups 64-bit row hashes first; only rows whose hash
   may repeat are shuffled whole;

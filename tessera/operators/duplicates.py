@@ -73,19 +73,46 @@ def stacked_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.inline(F.array(*made))).filter("t IS NOT NULL")
 
 
+#: Types of at most 64 bits: ``xxhash64`` of one such value is a bijection, so equal hashes are equal values.
+_NARROW = (T.IntegralType, T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def narrow(kind: T.DataType) -> bool:
+    return isinstance(kind, _NARROW) or (isinstance(kind, T.DecimalType) and kind.precision <= 18)
+
+
+def _hashed_values(df: DataFrame, columns: list[str], kinds: list[T.DataType]) -> DataFrame:
+    """``c`` (position in ``columns``), ``h`` (hash of the value): a row for each value that is not NULL, from one scan."""
+    made = []
+    for i, (name, kind) in enumerate(zip(columns, kinds, strict=True)):
+        value = F.col(q(name))
+        h = F.xxhash64(normalised(value, kind) if narrow(kind) else as_text(value, kind))
+        made.append(F.struct(F.lit(i).alias("c"), F.when(value.isNotNull(), h).alias("h")))
+    return df.select(F.inline(F.array(*made))).filter("h IS NOT NULL")
+
+
 def excess_copies_of(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """A14 for many columns: ``COUNT(c) - COUNT(DISTINCT c)`` of each, in one scan where no value repeats, else two.
+    """A14 for many columns: ``COUNT(c) - COUNT(DISTINCT c)`` of each.
 
-    Hashes that clash bring their values into the second pass, which groups the
-    values themselves.
+    One pass over the hashes of all columns settles those of at most 64 bits, and
+    every column without a repeated hash.  In the others hashes may clash, so the
+    values themselves are grouped: those that the filter lets through, or all if
+    so many hashes repeat that it would keep few back.
     """
-    stacked = stacked_values(df, columns)
-    hashed = F.xxhash64("c", "t")
-    repeated = repeated_filter(stacked.select(hashed.alias("h")), "h")
-    out = dict.fromkeys(columns, 0)
-    if repeated is None:
+    kinds = [df.select(q(name)).schema[0].dataType for name in columns]
+    groups = _hashed_values(df, columns, kinds).groupBy("c", "h").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["c"]: r for r in groups.groupBy("c").agg(F.sum(F.col("n") - 1).alias("excess"), F.count_if(F.col("n") > 1).alias("again")).collect()}
+    out = {name: int(found[i]["excess"]) if i in found else 0 for i, name in enumerate(columns)}
+    open_ = [name for name, kind in zip(columns, kinds, strict=True) if out[name] and not narrow(kind)]
+    if not open_:
         return out
-    again = suspects(stacked, hashed, repeated).groupBy("c", "t").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    values = stacked_values(df, open_)
+    if sum(found[columns.index(name)]["again"] for name in open_) * 8 < BITS * BUCKETS:
+        hashed = F.xxhash64("c", "t")
+        repeated = repeated_filter(values.select(hashed.alias("h")), "h")
+        values = values.limit(0) if repeated is None else suspects(values, hashed, repeated)
+    again = values.groupBy("c", "t").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    out.update(dict.fromkeys(open_, 0))
     for row in again.groupBy("c").agg(F.sum(F.col("n") - 1).alias("excess")).collect():
-        out[columns[row["c"]]] = int(row["excess"])
+        out[open_[row["c"]]] = int(row["excess"])
     return out
