@@ -3,7 +3,7 @@
 Two rows that agree on a set of columns refute every key within that set.  So a
 bounded choice of rows is compared first: rows chosen by the hash of the whole
 row, and for every column of many values all rows of a few hash-chosen values,
-which agree in it.  What the agreements leave open is searched level by level;
+which agree in it.  What the agreements leave open is searched level by level:
 only such sets are counted over all rows, by their 64-bit hashes, and one that
 fails brings two rows that agree on it, which refute further sets.
 
@@ -16,13 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.names import q
-from tessera.operators.duplicates import as_text, stackable
+from tessera.operators.duplicates import as_text, narrow, normalised, stackable
 
 #: Rows by the hash of the whole row, rows by the hash of one column's value, and cells of those together.
 WHOLE_ROWS, VALUE_ROWS, CELLS = 1000, 400, 400_000
@@ -78,6 +79,20 @@ def unrefuted(columns: int, width: int, refuted: list[int], keys: list[int]) ->
         open_ += [chosen | 1 << i for i in range(columns) if outside >> i & 1]
 
 
+def _texts(rows: DataFrame) -> list[Column]:
+    return [as_text(F.col(f.name), f.dataType) for f in rows.schema.fields]
+
+
+def _collected(rows: DataFrame) -> list[tuple]:
+    """``rows`` as text, equal exactly where values are."""
+    return [tuple(r) for r in rows.select(*_texts(rows)).collect()]
+
+
+def _hash_of(rows: DataFrame, chosen: int) -> Column:
+    # isNull tells NULL from what it would hash like
+    return F.xxhash64(*[x for i, c in enumerate(rows.columns) if chosen >> i & 1 for x in (F.col(c), F.col(c).isNull())])
+
+
 def _chosen_rows(rows: DataFrame, n: int) -> list[tuple]:
     """The rows that are compared: a bounded number, whatever the values."""
     names = rows.columns
@@ -95,18 +110,17 @@ def _chosen_rows(rows: DataFrame, n: int) -> list[tuple]:
     either = whole if counts["whole"] <= 4 * WHOLE_ROWS else F.lit(False)
     for c, (_, s) in use.items():
         either = either | picks[c, s]
-    return [tuple(r) for r in rows.filter(either).limit(5 * WHOLE_ROWS).collect()]
+    return _collected(rows.filter(either).limit(5 * WHOLE_ROWS))
 
 
 def _counterexample(rows: DataFrame, chosen: int) -> list[int]:
     """Agreements of rows that agree on the ``chosen`` columns; empty if all rows differ in them."""
     names = [c for i, c in enumerate(rows.columns) if chosen >> i & 1]
-    # coalesce tells NULL from the empty string
-    h = F.xxhash64(*[x for c in names for x in (F.col(c), F.col(c).isNull())])
+    h = _hash_of(rows, chosen)
     again = rows.select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(3).collect()
     if not again:
         return []
-    met = [tuple(r) for r in rows.filter(h.isin([r["h"] for r in again])).limit(60).collect()]
+    met = _collected(rows.filter(h.isin([r["h"] for r in again])).limit(60))
     found = [mask for mask in agreements(met) if mask & chosen == chosen]
     if not found and not rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         return [chosen]  # the hashes met by chance, the rows elsewhere do agree
@@ -116,7 +130,8 @@ def _counterexample(rows: DataFrame, chosen: int) -> list[int]:
 def minimal_keys(df: DataFrame, max_width: int = 3, max_parallel: int = 4) -> list[list[str]]:
     """All minimal keys of up to ``max_width`` columns (nested columns are left out)."""
     fields = [f for f in df.schema.fields if stackable(f.dataType)]
-    rows = df.select(*[as_text(F.col(q(f.name)), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+    typed = [(normalised if narrow(f.dataType) else as_text)(F.col(q(f.name)), f.dataType) for f in fields]
+    rows = df.select(*[c.alias(f"c{i}") for i, c in enumerate(typed)])
     n = df.count()
     if not n or not fields:
         return []
@@ -125,11 +140,7 @@ def minimal_keys(df: DataFrame, max_width: int = 3, max_parallel: int = 4) -> li
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
         for width in range(1, max_width + 1):
             while True:
-                batch = []
-                for chosen in unrefuted(len(fields), width, refuted, keys):
-                    batch.append(chosen)
-                    if len(batch) == max_parallel:
-                        break
+                batch = list(islice(unrefuted(len(fields), width, refuted, keys), max_parallel))
                 if not batch:
                     break
                 for chosen, found in zip(batch, pool.map(lambda c: _counterexample(rows, c), batch), strict=True):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tessera.functions.names import q
+from tessera.operators.duplicates import normalised
 from tessera.operators.grain import minimal_keys
 
 
@@ -45,14 +46,24 @@ def profile_table(df: DataFrame, rsd: float = 0.05) -> DataFrame:
              "min_value string, max_value string, approx_distinct bigint")
 
 
-def grain_candidates(df: DataFrame, candidates: list[list[str]], max_parallel: int = 4) -> DataFrame:
-    """For each candidate key: number of distinct keys, largest group, unique?"""
+def grain_candidates(df: DataFrame, candidates: list[list[str]], max_parallel: int = 4, likely_unique: bool = False) -> DataFrame:
+    """For each candidate key: number of distinct keys, largest group, unique?
+
+    With ``likely_unique`` 64-bit hashes of the keys are grouped first; if none
+    repeats, no key does, else the keys themselves are grouped as without it.
+    """
     if not candidates:
         return df.sparkSession.createDataFrame(
             [], "candidate string, distinct_keys bigint, max_rows_per_key bigint, is_unique boolean")
 
     def one(cols: list[str]):
         keys = df.select(*[F.col(q(c)).alias(f"k{i}") for i, c in enumerate(cols)])
+        if likely_unique:
+            parts = [x for f in keys.schema.fields for x in (normalised(F.col(f.name), f.dataType), F.col(f.name).isNull())]
+            hashes = keys.select(F.xxhash64(*parts).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+            r = hashes.agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("mx")).first()
+            if r["mx"] == 1:
+                return (",".join(cols), int(r["k"]), 1, True)
         g = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("n"))
         r = g.agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("mx")).first()
         keys, mx = int(r["k"]), (int(r["mx"]) if r["mx"] is not None else 0)
@@ -116,4 +127,4 @@ def guess_grain(df: DataFrame, max_width: int = 3) -> DataFrame:
 
     Exact and complete up to that width (:mod:`tessera.operators.grain`).
     """
-    return grain_candidates(df, minimal_keys(df, max_width))
+    return grain_candidates(df, minimal_keys(df, max_width), likely_unique=True)
